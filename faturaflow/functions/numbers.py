@@ -6,12 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from faturaflow.config import POSTING_GROUPS
-from faturaflow.functions.text import strip
 
-_PLAIN = r"^[0-9]{1,300}(\.[0-9]*)?$"
-_DIGITS = r"[0-9]+(_[0-9]+)*"
-_FLOAT = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
-_SPECIAL = r"^[+-]?(nan|inf|infinity)$"
+_BLANK = r"[\s\p{Z}\x1c-\x1f\x85]*"
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+_DECIMAL = rf"(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+_SPECIAL = "(?i:nan|inf|infinity)"
+_FLOAT = rf"^{_BLANK}[+-]?(?:{_DECIMAL}|{_SPECIAL}){_BLANK}\z"
+# Characters the pattern allows and a cast does not: '_' and blanks beyond ASCII.
+_DROPPED = "_\u0085\u00a0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 def text_to_float(c: Column) -> Column:
@@ -20,12 +22,7 @@ def text_to_float(c: Column) -> Column:
     Anything else is NULL, also the type suffixes of '1.0d' and '1.0f' that a
     bare cast would take.
     """
-    t = strip(c)
-    return (
-        F.when(c.rlike(_PLAIN), c.try_cast("double"))
-        .when(t.rlike(_FLOAT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(F.lower(t).rlike(_SPECIAL), t.try_cast("double"))
-    )
+    return F.when(c.rlike(_FLOAT), F.translate(c, _DROPPED, "").try_cast("double"))
 
 
 def is_positive(c: Column) -> Column:
@@ -41,8 +38,8 @@ def round_half_even_2(c: Column) -> Column:
     return F.rint(c * 100) / 100
 
 
-def posting_group(percent: Column) -> Column:
-    p = round_half_even_2(percent)
+def posting_group(p: Column) -> Column:
+    """Group of a VAT percentage already rounded to two digits."""
     (name, low, high), *rest = POSTING_GROUPS
     out = F.when(p.between(low, high), F.lit(name))
     for name, low, high in rest:

@@ -40,5 +40,12 @@ def fields(payload: Column) -> Column:
     return F.map_from_entries(F.when(no_repeats, entries).otherwise(last_only(entries)))
 
 
-def field(fields_map: Column, key: str) -> Column:
-    return F.try_element_at(fields_map, F.lit(key))
+def field(payload: Column, key: str) -> Column:
+    """Value of one key, NULL where the payload has none: as fields(payload)[key].
+
+    One regular expression on the payload text: it stays inside generated code and
+    names the payload once, so Catalyst may repeat it in pushed filters at little cost.
+    """
+    last = rf"(?s)^(?:.*\*)?({key}:[^*:]*)(?:\*.*)?\z"
+    pair = F.nullif(F.regexp_extract(payload, last, 1), F.lit(""))
+    return F.substring(pair, len(key) + 2, 1 << 30)

@@ -30,12 +30,13 @@ def first_accepted(candidates: DataFrame) -> DataFrame:
     return ok.groupBy("message_id").agg(F.min_by("text", order).alias("payload"))
 
 
-def with_fields(df: DataFrame, payload: str = "payload") -> DataFrame:
-    return df.withColumn("fields", qr.fields(F.col(payload)))
+def with_fields(df: DataFrame) -> DataFrame:
+    """Adds `fields`: the whole payload as a map, unknown keys included."""
+    return df.withColumn("fields", qr.fields(F.col("payload")))
 
 
 def with_invoice_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: qr.field(F.col("fields"), k) for c, k in INVOICE_FIELDS.items()})
+    return df.withColumns({c: qr.field(F.col("payload"), k) for c, k in INVOICE_FIELDS.items()})
 
 
 def text_blocks(pages: DataFrame, block: int) -> DataFrame:

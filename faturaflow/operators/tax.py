@@ -14,58 +14,73 @@ def with_bands(df: DataFrame, cfg: JobConfig) -> DataFrame:
     """Adds `bands`, an array of at most four records in posting order, and the tax gates.
 
     A band stays if its base is a positive number and its VAT, where given, is a
-    number. Bands stay nested in the invoice row: unpivoting, grouping and line
-    numbering then need no shuffle. `df` has `fields` and `vendor_invoice_no`.
+    number; an invoice that fails a gate has no bands. Bands stay nested in the
+    invoice row: unpivoting, grouping and line numbering then need no shuffle.
+    `df` has `payload` and `vendor_invoice_no`.
     """
-    fields = F.col("fields")
-    texts, amounts = {}, {}
-    for base, vat in BANDS:
-        texts[f"_t_{base}"] = qr.field(fields, base)
-        if vat:
-            texts[f"_t_{vat}"] = qr.field(fields, vat)
-    amounts = {c.replace("_t_", "_n_"): numbers.text_to_float(F.col(c)) for c in texts}
-    parsed = df.withColumns(texts).withColumns(amounts)
-
-    records, present, breaks = [], F.lit(False), F.lit(False)
-    for order, (base, vat) in enumerate(BANDS):
-        has_base = F.col(f"_t_{base}").isNotNull()
-        has_vat = F.col(f"_t_{vat}").isNotNull() if vat else F.lit(False)
-        base_n = F.col(f"_n_{base}")
-        vat_n = F.when(has_vat, F.col(f"_n_{vat}")).otherwise(F.lit(0.0)) if vat else F.lit(0.0)
-        keep = F.coalesce(numbers.is_positive(base_n) & vat_n.isNotNull(), F.lit(False))
-        records.append(F.when(keep, _record(order, base, base_n, vat_n, cfg.money)))
-        present = present | has_base
-        breaks = breaks | (keep & F.col("vendor_invoice_no").isNull())
-        if vat:
-            breaks = breaks | (has_base & base_n.isNull() & ~has_vat)
-
-    banded = parsed.withColumn("bands", F.array_compact(F.array(*records)))
+    amounts = F.array(*(_amounts(order, base, vat) for order, (base, vat) in enumerate(BANDS)))
+    parsed = df.withColumn("_amounts", amounts)
+    kept = F.filter("_amounts", lambda a: numbers.is_positive(a["base"]) & a["vat"].isNotNull())
+    priced = parsed.withColumn("_kept", kept)
+    is_missing = F.col("vendor_invoice_no").isNull() & (F.size("_kept") > 0)
     gated = first_failure(
-        banded,
-        ("NO_TAX_COLUMNS", ~present),
-        ("MISSING_FIELD", breaks),
-        ("NO_TAX_VALUES", F.size("bands") == 0),
+        priced,
+        ("NO_TAX_COLUMNS", ~F.exists("_amounts", lambda a: a["given"])),
+        ("MISSING_FIELD", is_missing | F.exists("_amounts", lambda a: a["breaks"])),
+        ("NO_TAX_VALUES", F.size("_kept") == 0),
+    )
+    rated = F.transform(
+        F.when(F.col("status").isNull(), F.col("_kept")).otherwise(F.slice("_kept", 1, 0)),
+        lambda a: F.struct(
+            a["band_order"].alias("band_order"),
+            a["band"].alias("band"),
+            a["base"].cast(cfg.money).alias("base"),
+            a["vat"].cast(cfg.money).alias("vat"),
+            numbers.round_half_even_2(numbers.vat_percent(a["vat"], a["base"])).alias("percent"),
+        ),
     )
-    return gated.drop(*texts, *amounts)
+    bands = F.transform(
+        rated,
+        lambda b: F.struct(
+            b["band_order"].alias("band_order"),
+            b["band"].alias("band"),
+            (b["base"] + b["vat"]).cast(cfg.money).alias("total"),
+            b["vat"].alias("vat"),
+            b["base"].alias("base"),
+            b["percent"].alias("vat_percent"),
+            numbers.posting_group(b["percent"]).alias("posting_group"),
+        ),
+    )
+    return gated.withColumn("bands", bands).drop("_amounts", "_kept")
 
 
-def _record(order: int, band: str, base: Column, vat: Column, money: str) -> Column:
-    percent = numbers.vat_percent(vat, base)
-    base_m, vat_m = base.cast(money), vat.cast(money)
+def _amounts(order: int, base: str, vat: str | None) -> Column:
+    """One band as given. `breaks`: a base that is no number in a band without its VAT field."""
+    base_text = qr.field(F.col("payload"), base)
+    base_n = numbers.text_to_float(base_text)
+    if vat:
+        vat_text = qr.field(F.col("payload"), vat)
+        vat_n = F.when(vat_text.isNull(), F.lit(0.0)).otherwise(numbers.text_to_float(vat_text))
+        breaks = base_text.isNotNull() & base_n.isNull() & vat_text.isNull()
+    else:
+        vat_n, breaks = F.lit(0.0), F.lit(False)
     return F.struct(
         F.lit(order).alias("band_order"),
-        F.lit(band).alias("band"),
-        (base_m + vat_m).cast(money).alias("total"),
-        vat_m.alias("vat"),
-        base_m.alias("base"),
-        numbers.round_half_even_2(percent).alias("vat_percent"),
-        numbers.posting_group(percent).alias("posting_group"),
+        F.lit(base).alias("band"),
+        base_text.isNotNull().alias("given"),
+        base_n.alias("base"),
+        vat_n.alias("vat"),
+        breaks.alias("breaks"),
     )
 
 
 def band_records(df: DataFrame) -> DataFrame:
-    """One row per band, with the band record's fixed columns."""
-    return df.select(
+    """One row per band, with the band record's fixed columns.
+
+    The outer form keeps Catalyst from deriving a filter on the array, which would
+    compute the bands twice.
+    """
+    records = df.select(
         "message_id",
         "vendor_name",
         "vendor_invoice_no",
@@ -75,5 +90,6 @@ def band_records(df: DataFrame) -> DataFrame:
         F.coalesce("region", F.lit("")).alias("issuer_region"),
         F.lit("").alias("buyer_region"),
         "account",
-        F.inline("bands"),
+        F.inline_outer("bands"),
     )
+    return records.filter(F.col("band").isNotNull())
