@@ -46,7 +46,8 @@ PARTS: dict[str, str] = {
   FROM inv""",
     "first_payload": """
   SELECT message_id, arg_min(payload, (l_linenumber, l_suppkey, l_partkey)) AS payload
-  FROM qr JOIN lineitem ON k = l_orderkey WHERE l_linenumber >= 3 GROUP BY message_id""",
+  FROM qr JOIN lineitem ON k = l_orderkey
+  WHERE l_linenumber >= 3 AND length(payload) - length(replace(payload, '*', '')) >= 6 GROUP BY message_id""",
     "vend": """
   SELECT 'V' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(6, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS vendor_no,
     CASE WHEN s_suppkey % 3 = 0 THEN lower(n) ELSE n END AS name,
