@@ -13,6 +13,7 @@ from faturaflow import schemas
 from faturaflow.config import JobConfig
 from faturaflow.plans.invoice_run import Inputs
 from faturaflow.sources import messages, notifications
+from faturaflow.sources.stage import spread
 
 BUYER = "500000000"
 CONFIG = JobConfig(buyer_nif=BUYER, recipients="ap@example.com, audit@example.com")
@@ -197,7 +198,9 @@ def classifier_answers(
 def mail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`raw`: one exported message per order, as JSON text."""
     k = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    orders = spread(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     cust = F.col("o_custkey")
     address = F.struct(
@@ -246,7 +249,7 @@ def document_mail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("hasAttachments"),
         F.array(attachment).alias("attachments"),
     )
-    return table(spark, sf_dir, "documents").select(F.to_json(message).alias("raw"))
+    return spread(table(spark, sf_dir, "documents")).select(F.to_json(message).alias("raw"))
 
 
 def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:

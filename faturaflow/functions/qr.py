@@ -13,15 +13,25 @@ def is_payload(text: Column) -> Column:
     return text.isNotNull() & (count_char(text, "*") >= MIN_QR_STARS)
 
 
+def pairs(payload: Column) -> Column:
+    """The parts `key:value` that hold exactly one ':'."""
+    return F.filter(F.split(payload, r"\*"), lambda p: count_char(p, ":") == 1)
+
+
+def value(pair_array: Column, key: str) -> Column:
+    """Value of one key, NULL where there is none; the last of equal keys wins."""
+    of_key = F.filter(pair_array, lambda p: F.startswith(p, F.lit(f"{key}:")))
+    return F.substring(F.try_element_at(of_key, F.lit(-1)), len(key) + 2, 1 << 30)
+
+
 def fields(payload: Column) -> Column:
-    """map<key, value> of the parts that hold exactly one ':'; the last of equal keys wins.
+    """map<key, value> of the whole payload, unknown keys included; the last of equal keys wins.
 
     Equal keys are removed here, so the result does not hang on the session's
     map-key policy.
     """
-    pairs = F.filter(F.split(payload, r"\*"), lambda p: count_char(p, ":") == 1)
     entries = F.transform(
-        pairs,
+        pairs(payload),
         lambda p: F.struct(
             F.substring_index(p, ":", 1).alias("key"),
             F.substring_index(p, ":", -1).alias("value"),
@@ -38,14 +48,3 @@ def fields(payload: Column) -> Column:
     keys = F.transform(entries, lambda e: e["key"])
     no_repeats = F.size(F.array_distinct(keys)) == F.size(keys)
     return F.map_from_entries(F.when(no_repeats, entries).otherwise(last_only(entries)))
-
-
-def field(payload: Column, key: str) -> Column:
-    """Value of one key, NULL where the payload has none: as fields(payload)[key].
-
-    One regular expression on the payload text: it stays inside generated code and
-    names the payload once, so Catalyst may repeat it in pushed filters at little cost.
-    """
-    last = rf"(?s)^(?:.*\*)?({key}:[^*:]*)(?:\*.*)?\z"
-    pair = F.nullif(F.regexp_extract(payload, last, 1), F.lit(""))
-    return F.substring(pair, len(key) + 2, 1 << 30)

@@ -56,16 +56,15 @@ def resolve(
     df: DataFrame, accounts: DataFrame, cfg: JobConfig, spread_by: str = "message_id"
 ) -> DataFrame:
     """Adds `account`. One posted line: its account. More: the classifier's answer, which must
-    be one of the vendor's accounts. `df` has vendor_no, first_account, n_rows, n_accounts, answer.
+    be one of the vendor's accounts. `df` has vendor_no, first_account, n_rows, n_accounts, answer;
+    `accounts` is per_vendor's result, whole, so that its one aggregation serves summary() too.
     """
     many = choices(cfg) > 1
     asked = df.withColumn("account", F.when(many, text.strip("answer")))
-    known = accounts.filter(F.col("account").isNotNull()).select(
-        "vendor_no", "account", F.lit(True).alias("is_known")
-    )
-    checked = lookup_join(asked, known, ["vendor_no", "account"], "left", spread_by)
-    account = F.when(many, F.when(F.col("is_known"), F.col("account"))).otherwise(F.col("first_account"))
-    out = checked.withColumn("account", text.nonempty(account)).drop("is_known")
+    checked = lookup_join(asked, accounts, ["vendor_no", "account"], "left", spread_by)
+    known = F.when(F.col("n_lines").isNotNull(), F.col("account"))
+    account = F.when(many, known).otherwise(F.col("first_account"))
+    out = checked.withColumn("account", text.nonempty(account)).drop("n_lines")
     return first_failure(
         out,
         ("NO_POSTING_HISTORY", F.coalesce(choices(cfg), F.lit(0)) == 0),

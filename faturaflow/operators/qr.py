@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faturaflow.config import BANDS
 from faturaflow.functions import qr
 from faturaflow.sources.messages import is_pdf
 
@@ -17,6 +18,7 @@ INVOICE_FIELDS = {
     "vendor_invoice_no": "H",
     "region": "I1",
 }
+BAND_FIELDS = {key.lower(): key for band in BANDS for key in band if key}
 
 
 def first_accepted(candidates: DataFrame) -> DataFrame:
@@ -36,7 +38,17 @@ def with_fields(df: DataFrame) -> DataFrame:
 
 
 def with_invoice_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: qr.field(F.col("payload"), k) for c, k in INVOICE_FIELDS.items()})
+    """The payload replaced by one text column per field the job reads.
+
+    The payload is split once, into a column of its own; Catalyst does not repeat
+    an expression that several columns use.
+    """
+    split = df.withColumn("_pairs", qr.pairs(F.col("payload")))
+    return split.select(
+        *(c for c in df.columns if c != "payload"),
+        *(qr.value(F.col("_pairs"), k).alias(c) for c, k in INVOICE_FIELDS.items()),
+        *(qr.value(F.col("_pairs"), k).alias(c) for c, k in BAND_FIELDS.items()),
+    )
 
 
 def text_blocks(pages: DataFrame, block: int) -> DataFrame:

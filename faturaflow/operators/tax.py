@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faturaflow.config import BANDS, SITUATION, JobConfig
-from faturaflow.functions import numbers, qr
+from faturaflow.functions import numbers
+from faturaflow.operators.qr import BAND_FIELDS
 from faturaflow.operators.status import first_failure
 
 
@@ -16,10 +17,11 @@ def with_bands(df: DataFrame, cfg: JobConfig) -> DataFrame:
     A band stays if its base is a positive number and its VAT, where given, is a
     number; an invoice that fails a gate has no bands. Bands stay nested in the
     invoice row: unpivoting, grouping and line numbering then need no shuffle.
-    `df` has `payload` and `vendor_invoice_no`.
+    `df` has the columns of operators.qr.with_invoice_columns.
     """
+    numbers_of = {f"_{c}": numbers.text_to_float(F.col(c)) for c in BAND_FIELDS}
     amounts = F.array(*(_amounts(order, base, vat) for order, (base, vat) in enumerate(BANDS)))
-    parsed = df.withColumn("_amounts", amounts)
+    parsed = df.withColumns(numbers_of).withColumn("_amounts", amounts)
     kept = F.filter("_amounts", lambda a: numbers.is_positive(a["base"]) & a["vat"].isNotNull())
     priced = parsed.withColumn("_kept", kept)
     is_missing = F.col("vendor_invoice_no").isNull() & (F.size("_kept") > 0)
@@ -51,23 +53,23 @@ def with_bands(df: DataFrame, cfg: JobConfig) -> DataFrame:
             numbers.posting_group(b["percent"]).alias("posting_group"),
         ),
     )
-    return gated.withColumn("bands", bands).drop("_amounts", "_kept")
+    return gated.withColumn("bands", bands).drop("_amounts", "_kept", *BAND_FIELDS, *numbers_of)
 
 
 def _amounts(order: int, base: str, vat: str | None) -> Column:
     """One band as given. `breaks`: a base that is no number in a band without its VAT field."""
-    base_text = qr.field(F.col("payload"), base)
-    base_n = numbers.text_to_float(base_text)
+    given = F.col(base.lower()).isNotNull()
+    base_n = F.col(f"_{base.lower()}")
     if vat:
-        vat_text = qr.field(F.col("payload"), vat)
-        vat_n = F.when(vat_text.isNull(), F.lit(0.0)).otherwise(numbers.text_to_float(vat_text))
-        breaks = base_text.isNotNull() & base_n.isNull() & vat_text.isNull()
+        no_vat = F.col(vat.lower()).isNull()
+        vat_n = F.when(no_vat, F.lit(0.0)).otherwise(F.col(f"_{vat.lower()}"))
+        breaks = given & base_n.isNull() & no_vat
     else:
         vat_n, breaks = F.lit(0.0), F.lit(False)
     return F.struct(
         F.lit(order).alias("band_order"),
         F.lit(base).alias("band"),
-        base_text.isNotNull().alias("given"),
+        given.alias("given"),
         base_n.alias("base"),
         vat_n.alias("vat"),
         breaks.alias("breaks"),

@@ -261,7 +261,9 @@ FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE toxic = 0 AND strlen
     "qr_accept_first": "SELECT message_id, payload FROM first_payload",
     "qr_parse": """SELECT message_id, a AS issuer_nif, b AS payload_buyer, 'FT' AS doc_type, f AS issue_date, h AS vendor_invoice_no,
   'PT' AS region, i2, i3, i4, i5, i6, i7, i8,
-  CAST(length(payload) - length(replace(payload, '*', '')) AS BIGINT) AS n_fields FROM qr""",
+  CAST(length(payload) - length(replace(payload, '*', '')) AS BIGINT) AS n_fields,
+  array_to_string(list_sort(list_filter([a, b, 'FT', f, h, 'PT', i2, i3, i4, i5, i6, i7, i8], lambda x: x IS NOT NULL)), ' ') AS all_values
+FROM qr""",
     "pdf_text_assembly": """SELECT i.message_id, coalesce(filename, 'No text') AS filename, coalesce(text, '') AS text,
   coalesce(pages, '0') AS pages
 FROM (SELECT CAST(c_custkey AS VARCHAR) AS message_id FROM customer UNION

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faturaflow import fixtures as fx
-from faturaflow.config import BANDS
 from faturaflow.functions import text
 from faturaflow.operators import accounts, joins, numbering, payloads, qr, rejects, tax, transform, vendors
 from faturaflow.plans import invoice_run
@@ -134,14 +133,14 @@ def qr_accept_first(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def qr_parse(spark: SparkSession, sf: str) -> DataFrame:
-    """Payload to its fields, as a map and as the invoice columns."""
-    f = qr.with_fields(_parsed(spark, sf))
-    bands = {k.lower(): F.try_element_at("fields", F.lit(k)) for pair in BANDS for k in pair if k}
-    return f.select(
+    """Payload to its fields, as columns and as a map with every key."""
+    parsed = qr.with_invoice_columns(qr.with_fields(fx.qr_messages(spark, sf)))
+    return parsed.select(
         "message_id",
         *qr.INVOICE_FIELDS,
-        *(value.alias(name) for name, value in bands.items()),
+        *qr.BAND_FIELDS,
         F.size("fields").cast("bigint").alias("n_fields"),
+        F.array_join(F.array_sort(F.map_values("fields")), " ").alias("all_values"),
     )
 
 
