@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from faturaflow import schemas
 from faturaflow.config import JobConfig
+from faturaflow.operators.joins import lookup_join
 from faturaflow.plans.invoice_run import Inputs
 from faturaflow.sources import messages, notifications
 from faturaflow.sources.stage import spread
@@ -164,19 +165,18 @@ def decode_candidates(
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"
     )
-    return (
-        (qr_messages(spark, sf_dir) if payloads is None else payloads)
-        .join(lines, F.col("order_key") == F.col("l_orderkey"))
-        .select(
-            "message_id",
-            F.lit(0).alias("att_pos"),
-            F.lit("application/pdf").alias("content_type"),
-            F.col("l_linenumber").alias("page_no"),
-            F.lit(0).alias("phase"),
-            F.col("l_suppkey").alias("image_no"),
-            F.col("l_partkey").alias("method_no"),
-            F.when(F.col("l_linenumber") >= 3, F.col("payload")).otherwise("A*B").alias("text"),
-        )
+    by_order = (qr_messages(spark, sf_dir) if payloads is None else payloads).select(
+        "message_id", F.col("order_key").alias("l_orderkey"), "payload"
+    )
+    return lookup_join(lines, by_order, ["l_orderkey"], "inner").select(
+        "message_id",
+        F.lit(0).alias("att_pos"),
+        F.lit("application/pdf").alias("content_type"),
+        F.col("l_linenumber").alias("page_no"),
+        F.lit(0).alias("phase"),
+        F.col("l_suppkey").alias("image_no"),
+        F.col("l_partkey").alias("method_no"),
+        F.when(F.col("l_linenumber") >= 3, F.col("payload")).otherwise("A*B").alias("text"),
     )
 
 
@@ -189,7 +189,7 @@ def classifier_answers(
     asked = (qr_messages(spark, sf_dir) if payloads is None else payloads).select(
         "message_id", "order_key", vendor_no(F.col("supp")).alias("vendor_no")
     )
-    return asked.join(smallest, "vendor_no").select(
+    return lookup_join(asked, smallest, ["vendor_no"], "inner").select(
         "message_id",
         _case(F.col("order_key") % 5 == 0, "99999", F.concat(F.lit("  "), "account", F.lit(" "))).alias("answer"),
     )

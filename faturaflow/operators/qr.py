@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faturaflow.config import BANDS
 from faturaflow.functions import qr
+from faturaflow.operators.joins import lookup_join
 from faturaflow.sources.messages import is_pdf
 
 # Invoice fields read from the payload: our column -> payload key.
@@ -73,7 +74,11 @@ def text_blocks(pages: DataFrame, block: int) -> DataFrame:
 
 
 def pdf_texts(pages: DataFrame, block: int) -> DataFrame:
-    """One text per attachment from its blocks; attachments without any text are left out."""
+    """One text per attachment from its blocks; attachments without any text are left out.
+
+    The result is one value per attachment, so its size bounds what a task gathers;
+    use text_blocks where a document may be larger than a value should be.
+    """
     whole = (
         text_blocks(pages, block)
         .groupBy("message_id", "att_pos")
@@ -100,4 +105,4 @@ def pdf_texts_or_default(ids: DataFrame, pages: DataFrame, block: int) -> DataFr
 
 def responses(mail: DataFrame, payloads: DataFrame, texts: DataFrame) -> DataFrame:
     """Message, payload and texts in one row per text: what reading a message returns."""
-    return mail.join(payloads, "message_id").join(texts, "message_id")
+    return lookup_join(texts, mail.join(payloads, "message_id"), ["message_id"], "inner")

@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from faturaflow.functions import numbers, qr, text
+
+
+def one(spark, value, expr, type_="string"):
+    df = spark.createDataFrame([(value,)], f"x {type_}")
+    return df.select(expr(F.col("x")).alias("y")).first()["y"]
+
+
+@pytest.mark.parametrize(
+    ("given", "expected"),
+    [
+        ("12.5", 12.5),
+        (" 12.5\n", 12.5),
+        (" 7 ", 7.0),
+        ("1_000", 1000.0),
+        ("+.5e1", 5.0),
+        ("5.", 5.0),
+        ("-3", -3.0),
+        ("inf", math.inf),
+        ("-Infinity", -math.inf),
+        ("1.0d", None),
+        ("1.0f", None),
+        ("1__0", None),
+        ("_1", None),
+        ("1,5", None),
+        ("abc", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_text_to_float(spark, given, expected):
+    assert one(spark, given, numbers.text_to_float) == expected
+
+
+def test_text_to_float_nan_is_a_number_but_not_positive(spark):
+    assert math.isnan(one(spark, "NaN", numbers.text_to_float))
+    assert one(spark, "nan", lambda c: numbers.is_positive(numbers.text_to_float(c))) is False
+
+
+@pytest.mark.parametrize(
+    ("percent", "group"),
+    [
+        (23.0, "OBS-NOR"),
+        (22.985, None),  # rounds half to even: 22.98
+        (22.986, "OBS-NOR"),
+        (23.014, "OBS-NOR"),
+        (23.016, None),
+        (22.0, "OBS-NORMAD"),
+        (6.0, "OBS-RDZ"),
+        (13.0, None),
+        (0.0, "OBS-ISEN"),
+        (-0.01, "OBS-ISEN"),
+        (float("nan"), None),
+        (None, None),
+    ],
+)
+def test_posting_group(spark, percent, group):
+    got = one(
+        spark, percent, lambda c: numbers.posting_group(numbers.round_half_even_2(c)), "double"
+    )
+    assert got == group
+
+
+def test_vat_percent_of_zero_base_is_null(spark):
+    df = spark.createDataFrame([(1.0, 0.0)], "v double, b double")
+    assert df.select(numbers.vat_percent(F.col("v"), F.col("b"))).first()[0] is None
+
+
+@pytest.mark.parametrize(
+    ("given", "expected"),
+    [("20240229", "2024-02-29"), ("20230229", None), ("2024115", None), ("", None), ("2024-01-01", None)],
+)
+def test_strict_date(spark, given, expected):
+    got = one(spark, given, numbers.strict_date)
+    assert (got.isoformat() if got else None) == expected
+
+
+@pytest.mark.parametrize(
+    ("n", "expected"), [(1, "000001"), (999999, "999999"), (1234567, "1234567"), (-4, "-00004")]
+)
+def test_zero_fill(spark, n, expected):
+    assert one(spark, n, lambda c: text.zero_fill(c, 6), "bigint") == expected
+
+
+def test_text_helpers(spark):
+    assert one(spark, "users/mb/messages/42", text.last_segment) == "42"
+    assert one(spark, None, text.last_segment) == ""
+    assert one(spark, "x/Messages/a/Messages/b", text.message_id) == "b"
+    assert one(spark, "2024-05-01T10:00:00Z", text.received_date) == "2024-05-01"
+    assert one(spark, "\t 7  ", text.strip) == "7"
+    assert one(spark, "a*b**", lambda c: text.count_char(c, "*")) == 3
+
+
+PAYLOADS = {
+    "A:1*B:2*": {"A": "1", "B": "2"},
+    "A:1*A:2*A:3": {"A": "3"},  # the last of equal keys
+    "A:1:2*B:5": {"B": "5"},  # a value with ':' is no pair
+    "A*B:*:9": {"B": "", "": "9"},  # no value, empty value, empty key
+    "": {},
+    "***": {},
+}
+
+
+@pytest.mark.parametrize(("payload", "expected"), PAYLOADS.items())
+def test_qr_fields(spark, payload, expected):
+    assert one(spark, payload, qr.fields) == expected
+    for key in ("A", "B", "Z"):
+        got = one(spark, payload, lambda c, k=key: qr.value(qr.pairs(c), k))
+        assert got == expected.get(key)
+
+
+def test_qr_key_is_not_a_prefix_match(spark):
+    assert one(spark, "I10:5*AI1:6", lambda c: qr.value(qr.pairs(c), "I1")) is None
+
+
+def test_qr_acceptance(spark):
+    letters = "".join(f"{c}:{i}*" for i, c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    assert one(spark, letters, qr.is_payload) is True
+    assert one(spark, "A:1*B:2*C*D*E*F*", qr.is_payload) is True
+    assert one(spark, "A*B*C*D*E*F", qr.is_payload) is False
+    assert one(spark, "", qr.is_payload) is False
+    assert one(spark, None, qr.is_payload) is False
