@@ -77,11 +77,13 @@ def assign(
 ) -> DataFrame:
     """Adds `document_no` to SENT rows, consecutive from `first_no` by arrival.
 
-    All rows are written, SENT rows first, so the rejects are not computed again.
+    All rows are written, SENT rows first, so the rejects are not computed again. The
+    first number is written with them: a replay must not see a later one.
     """
     not_sent = F.col("status") != "SENT"
-    out = ranked(screened, [not_sent, F.col("received_at"), F.col("message_id")], stage, "numbered")
-    number = F.col("rank") + first_no.scalar()
+    order = [not_sent, F.col("received_at"), F.col("message_id")]
+    out = ranked(screened.withColumn("first_no", first_no.scalar()), order, stage, "numbered")
+    number = F.col("rank") + F.col("first_no")
     return out.withColumn(
         "document_no", F.when(~not_sent, document_no(number, prefix, width))
-    ).drop("rank")
+    ).drop("rank", "first_no")
