@@ -1,0 +1,163 @@
+"""Plans and hot keys: what must hold when the data is large."""
+
+from __future__ import annotations
+
+from contextlib import contextmanager
+
+import pytest
+from mailbox import CFG, Mailbox
+from pyspark.sql import functions as F
+
+from faturaflow import fixtures as fx
+from faturaflow.operators import accounts, joins, numbering, qr, transform, vendors
+from faturaflow.plans import invoice_run
+from faturaflow.sources import notifications
+from faturaflow.sources.stage import Stage
+
+SF = "/root/testdata/sf0.001"
+
+
+@contextmanager
+def conf(spark, **values):
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    old = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def no_broadcast(spark):
+    """As if every side were larger than the broadcast threshold."""
+    return conf(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="32",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
+    )
+
+
+def plan(df, executed=False):
+    if executed:
+        df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot_facts(spark, rows=200_000):
+    """A third of the rows has one key, a third none."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 2, F.concat(F.lit("k"), F.col("id") % 999))
+    return spark.range(0, rows, 1, 8).select(F.col("id").cast("string").alias("message_id"), key.alias("key"))
+
+
+@pytest.mark.parametrize(("how", "expected"), [("left", 200_000), ("inner", 133_333), ("left_semi", 133_333), ("left_anti", 66_667)])
+def test_lookup_join_splits_a_hot_key(spark, how, expected):
+    with no_broadcast(spark):
+        facts = hot_facts(spark)
+        directory = facts.filter("key is not null").groupBy("key").agg(F.count("*").alias("n"))
+        df = joins.lookup_join(facts, directory, ["key"], how, "message_id")
+        assert abs(len(df.collect()) - expected) <= 1
+        assert "skew=true" in plan(df)
+
+
+def test_small_directories_are_broadcast(spark):
+    directory = vendors.directory(fx.vendors(spark, SF))
+    facts = hot_facts(spark, 1000).withColumnRenamed("key", "vat")
+    assert "SortMergeJoin" not in plan(joins.lookup_join(facts, directory, ["vat"]), executed=True).split("Initial Plan")[0]
+
+
+def test_run_gives_the_same_without_broadcast(spark):
+    box = Mailbox(11)
+    with no_broadcast(spark):
+        n = invoice_run.run(box.events(spark), box.inputs(spark), CFG, Stage(spark))
+        got = {r.message_id: (r.status, r.document_no) for r in n.collect()}
+    assert got == box.expected()
+
+
+def classified(spark):
+    inp = fx.inputs(spark, SF)
+    ids = notifications.distinct_ids(fx.events_of(fx.mailbox_bodies(spark, SF))).select("message_id")
+    return invoice_run.classify(ids, inp, fx.CONFIG), inp
+
+
+def test_no_cross_joins_python_or_single_partition(spark):
+    with no_broadcast(spark):
+        df, inp = classified(spark)
+        text = plan(df)
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "Python", "BroadcastExchange"):
+            assert bad not in text, bad
+        known = transform.known_keys(["vendor_invoice_no"], inp.purchase_header, inp.purchase_header_reg)
+        screened = plan(transform.screen(df, known, fx.CONFIG))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "Python"):
+            assert bad not in screened, bad
+
+
+def test_message_side_moves_once(spark):
+    """Ids, messages, payloads and answers: one exchange each, none for the joins between them."""
+    with no_broadcast(spark):
+        box = Mailbox(1, size=10)
+        inp = box.inputs(spark)
+        mail = invoice_run.read_mail(notifications.distinct_ids(box.events(spark)).select("message_id"), inp.messages, inp.candidates)
+        assert plan(mail).count("Exchange hashpartitioning(message_id") == 3
+
+
+def test_outbox_tables_need_no_shuffle(spark):
+    box = Mailbox(2, size=30)
+    n = invoice_run.run(box.events(spark), box.inputs(spark), CFG, Stage(spark))
+    for name, df in invoice_run.outbox_tables(n, CFG).items():
+        text = plan(df)
+        # the only exchanges belong to the table of partition sizes
+        assert "Sort [" not in text.split("BroadcastExchange")[0], name
+        assert "SortMergeJoin" not in text, name
+
+
+def test_aggregations_shrink_hot_keys_before_the_shuffle(spark):
+    with no_broadcast(spark):
+        events = spark.range(0, 50_000, 1, 4).select(
+            F.lit("hot").alias("message_id"), F.current_timestamp().alias("ts")
+        )
+        for df in (notifications.distinct_ids(events), accounts.per_vendor(
+            events.select(F.col("message_id").alias("vendor_no"), F.lit("a").alias("account"))
+        )):
+            text = plan(df)
+            below = text.split("Exchange hashpartitioning")[1]
+            assert "partial_" in below
+            assert df.count() == 1
+
+
+def test_scans_read_only_the_columns_in_use(spark):
+    df = qr.first_accepted(fx.decode_candidates(spark, SF))
+    schemas = [line.split("ReadSchema: ")[1] for line in plan(df).splitlines() if "ReadSchema: " in line]
+    assert schemas and not any("l_shipdate" in s or "o_totalprice" in s or "l_quantity" in s for s in schemas)
+
+
+def test_known_invoice_filter_reaches_the_scan(spark):
+    df = fx.purchase_header(spark, SF)
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,O)]" in plan(df)
+
+
+def test_numbers_are_dense_with_one_arrival_time(spark):
+    """All rows arrive at the same moment: the range partitions still split them."""
+    df = spark.range(0, 20_000, 1, 8).select(F.lit("t").alias("received_at"), F.col("id").cast("string").alias("message_id"))
+    with conf(spark, spark__sql__shuffle__partitions="16", spark__sql__adaptive__coalescePartitions__enabled="false"):
+        stage = Stage(spark)
+        got = numbering.ranked(df, [F.col("received_at"), F.col("message_id")], stage, "t")
+        ranks = [r["rank"] for r in got.select("message_id", "rank").orderBy("message_id").collect()]
+        written = spark.read.parquet(f"{stage.folder}/t").groupBy(F.shiftright("slot", 33)).count().collect()
+    assert ranks == list(range(20_000))
+    assert len(written) > 8 and max(r["count"] for r in written) < 5_000
+
+
+def test_text_blocks_bound_every_group(spark):
+    pages = spark.range(0, 2000, 1, 4).select(
+        F.lit("hot").alias("message_id"), F.lit(0).alias("att_pos"), F.lit("f").alias("filename"),
+        F.col("id").alias("page_no"), F.concat(F.lit("p"), F.col("id").cast("string"), F.lit(";")).alias("text"),
+    )
+    blocks = qr.text_blocks(pages, 100)
+    assert blocks.agg(F.max("pages")).first()[0] == 100
+    whole = "".join(r.text for r in blocks.orderBy("block_no").collect())
+    assert whole == "".join(f"p{i};" for i in range(2000)) == qr.pdf_texts(pages, 100).first().text
