@@ -30,11 +30,13 @@ def per_vendor(posted_lines: DataFrame) -> DataFrame:
     """Posted lines per vendor and account: the vendor's account list with its repeats.
 
     Counting first, on vendor and account, keeps a vendor with very many lines from
-    being gathered anywhere.
+    being gathered anywhere. A line without account has the account ''; it is as
+    little a valid account. (Never NULL, the column needs no null filter in one use
+    and none in the other, so Spark runs the aggregation once for both.)
     """
     return (
         posted_lines.filter(F.col("vendor_no").isNotNull())
-        .groupBy("vendor_no", "account")
+        .groupBy("vendor_no", F.coalesce("account", F.lit("")).alias("account"))
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
 
