@@ -31,130 +31,93 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def _case(cond: Column, then: Column | str | None, otherwise: Column) -> Column:
-    return F.when(cond, F.lit(then) if not isinstance(then, Column) else then).otherwise(otherwise)
+def _padded(value: str, width: int) -> str:
+    """SQL: digits with leading zeros; longer numbers keep all their digits."""
+    return f"lpad({value}, greatest(length(string({value})), {width}), '0')"
+
+
+def _vendor_no(key: str) -> str:
+    return f"concat('V', {_padded(key, 6)})"
 
 
 def qr_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """message_id, order_key, payload: one invoice per order that has lines."""
-    price = F.col("l_extendedprice").cast("decimal(15,2)")
-    taxed = F.col("l_tax") > 0
 
-    def total(cond: Column) -> Column:
-        return F.sum(F.when(cond, price)).cast("decimal(15,2)")
+    def total(cond: str) -> Column:
+        return F.expr(f"cast(sum(if({cond}, cast(l_extendedprice AS decimal(15,2)), NULL)) AS decimal(15,2))")
+
+    def vat(base: str, rate: str) -> str:
+        return f"cast(round({base} * {rate}BD, 2) AS decimal(15,2))"
 
     sums = (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
+        .groupBy(F.col("l_orderkey").alias("k"))
         .agg(
             F.min("l_suppkey").alias("supp"),
-            total(F.col("l_tax") == 0).alias("I2"),
-            total(taxed & (F.col("l_returnflag") == "A")).alias("I3"),
-            total(taxed & (F.col("l_returnflag") == "R")).alias("I5"),
-            total(taxed & (F.col("l_returnflag") == "N")).alias("I7"),
+            total("l_tax = 0").alias("I2"),
+            total("l_tax > 0 AND l_returnflag = 'A'").alias("I3"),
+            total("l_tax > 0 AND l_returnflag = 'R'").alias("I5"),
+            total("l_tax > 0 AND l_returnflag = 'N'").alias("I7"),
         )
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    j = orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey"))
-    k = F.col("o_orderkey")
-
-    def vat(base: str, rate: str) -> Column:
-        return F.round(F.col(base) * F.lit(rate).cast("decimal(3,2)"), 2).cast("decimal(15,2)")
-
-    no_tax, junk, broken = k % 109 == 4, k % 113 == 5, k % 137 == 8
-
-    def band(key: str, value: Column, junk_text: str | None, broken_text: str | None) -> Column:
-        normal = F.concat(F.lit(f"{key}:"), value.cast("string"))
-        return (
-            F.when(no_tax, F.lit(None))
-            .when(junk, F.lit(junk_text))
-            .when(broken, F.lit(broken_text))
-            .otherwise(normal)
-        )
-
-    invoice_key = k - F.when(k % 29 == 1, 1).otherwise(0)
-    payload = F.concat(
-        F.concat_ws(
-            "*",
-            _case(k % 131 == 7, None, F.concat(F.lit("A:"), (F.lit(500000000) + F.col("supp")).cast("string"))),
-            _case(k % 127 == 6, None, _case(k % 17 == 0, "B:999", F.lit(f"B:{BUYER}"))),
-            F.lit("D:FT"),
-            _case(
-                k % 101 == 1,
-                None,
-                _case(k % 103 == 2, "F:20241399", F.concat(F.lit("F:"), F.date_format("o_orderdate", "yyyyMMdd"))),
-            ),
-            _case(k % 107 == 3, None, F.concat(F.lit("H:ATCUD-"), invoice_key.cast("string"))),
-            F.lit("I1:PT"),
-            band("I2", F.col("I2"), "I2:abc", None),
-            band("I3", F.col("I3"), None, "I3:abc"),
-            band("I4", vat("I3", "0.06"), None, None),
-            band("I5", F.col("I5"), None, None),
-            band("I6", vat("I5", "0.13"), None, None),
-            band("I7", F.col("I7"), None, None),
-            band("I8", vat("I7", "0.23"), None, None),
-        ),
-        F.lit("*"),
-    )
-    return j.select(
-        k.cast("string").alias("message_id"), k.alias("order_key"), "supp", payload.alias("payload")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "o_orderdate")
+    plain = "NOT (k % 109 = 4 OR k % 113 = 5 OR k % 137 = 8)"
+    payload = f"""concat(concat_ws('*',
+        if(k % 131 = 7, NULL, concat('A:', 500000000 + supp)),
+        CASE WHEN k % 127 = 6 THEN NULL WHEN k % 17 = 0 THEN 'B:999' ELSE 'B:{BUYER}' END,
+        'D:FT',
+        CASE WHEN k % 101 = 1 THEN NULL WHEN k % 103 = 2 THEN 'F:20241399'
+             ELSE concat('F:', date_format(o_orderdate, 'yyyyMMdd')) END,
+        if(k % 107 = 3, NULL, concat('H:ATCUD-', k - if(k % 29 = 1, 1, 0))),
+        'I1:PT',
+        CASE WHEN {plain} THEN concat('I2:', I2) WHEN k % 109 = 4 THEN NULL WHEN k % 113 = 5 THEN 'I2:abc'
+             ELSE NULL END,
+        CASE WHEN {plain} THEN concat('I3:', I3) WHEN k % 109 = 4 OR k % 113 = 5 THEN NULL ELSE 'I3:abc' END,
+        if({plain}, concat('I4:', {vat("I3", "0.06")}), NULL),
+        if({plain}, concat('I5:', I5), NULL), if({plain}, concat('I6:', {vat("I5", "0.13")}), NULL),
+        if({plain}, concat('I7:', I7), NULL), if({plain}, concat('I8:', {vat("I7", "0.23")}), NULL)), '*')"""
+    return orders.join(sums, "k").selectExpr(
+        "string(k) AS message_id", "k AS order_key", "supp", f"{payload} AS payload"
     )
 
 
 def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some vendors share a name, some a tax number, some have none."""
-    s = F.col("s_suppkey")
-    base = F.concat(F.lit("Supplier#"), F.lpad((s - F.when(s % 13 == 5, 1).otherwise(0)).cast("string"), 9, "0"))
-    vat = 500000000 + s - F.when(s % 11 == 6, 1).otherwise(0)
-    return table(spark, sf_dir, "supplier").select(
-        vendor_no(s).alias("vendor_no"),
-        _case(s % 3 == 0, F.lower(base), base).alias("name"),
-        F.when(s % 10 != 9, vat.cast("string")).alias("vat"),
+    name = "concat('Supplier#', lpad(s_suppkey - if(s_suppkey % 13 = 5, 1, 0), 9, '0'))"
+    return table(spark, sf_dir, "supplier").selectExpr(
+        f"{_vendor_no('s_suppkey')} AS vendor_no",
+        f"if(s_suppkey % 3 = 0, lower({name}), {name}) AS name",
+        "if(s_suppkey % 10 <> 9, string(500000000 + s_suppkey - if(s_suppkey % 11 = 6, 1, 0)), NULL) AS vat",
     )
 
 
-def vendor_no(key: Column) -> Column:
-    digits = key.cast("string")
-    return F.concat(F.lit("V"), F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), F.lit("0")))
-
-
 def purchase_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey").cast("string")
-    return (
-        table(spark, sf_dir, "orders")
-        .filter("o_orderstatus = 'O'")
-        .select(
-            F.concat(F.lit("FCA25"), F.lpad(k, F.greatest(F.length(k), F.lit(6)), F.lit("0"))).alias("document_no"),
-            F.concat(F.lit("ATCUD-"), k).alias("vendor_invoice_no"),
-        )
+    open_orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'")
+    return open_orders.selectExpr(
+        f"concat('FCA25', {_padded('o_orderkey', 6)}) AS document_no",
+        "concat('ATCUD-', o_orderkey) AS vendor_invoice_no",
     )
 
 
 def purchase_header_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "orders")
-        .filter("o_orderstatus = 'F'")
-        .select(F.concat(F.lit("ATCUD-"), F.col("o_orderkey").cast("string")).alias("vendor_invoice_no"))
-    )
+    filled_orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    return filled_orders.selectExpr("concat('ATCUD-', o_orderkey) AS vendor_invoice_no")
 
 
 def posted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendors 4n have many lines, 4n+1 one line, the others none."""
-    size = F.col("p_size").cast("string")
-    many = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            vendor_no(F.col("l_suppkey") - F.col("l_suppkey") % 4).alias("vendor_no"),
-            F.concat(F.lit("62"), F.lpad(size, F.greatest(F.length(size), F.lit(3)), F.lit("0"))).alias("account"),
-            F.col("p_type").alias("description"),
-        )
+    sold = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    )
+    many = sold.selectExpr(
+        f"{_vendor_no('l_suppkey - l_suppkey % 4')} AS vendor_no",
+        f"concat('62', {_padded('p_size', 3)}) AS account",
+        "p_type AS description",
     )
-    s = F.col("s_suppkey")
-    one = table(spark, sf_dir, "supplier").select(
-        vendor_no(F.when(s % 4 == 1, s).otherwise(s - s % 4)).alias("vendor_no"),
-        F.lit("62000").alias("account"),
-        F.lit("LITERAL").alias("description"),
+    one = table(spark, sf_dir, "supplier").selectExpr(
+        f"{_vendor_no('if(s_suppkey % 4 = 1, s_suppkey, s_suppkey - s_suppkey % 4)')} AS vendor_no",
+        "'62000' AS account",
+        "'LITERAL' AS description",
     )
     return many.unionByName(one)
 
@@ -165,18 +128,18 @@ def decode_candidates(
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"
     )
-    by_order = (qr_messages(spark, sf_dir) if payloads is None else payloads).select(
-        "message_id", F.col("order_key").alias("l_orderkey"), "payload"
+    by_order = (qr_messages(spark, sf_dir) if payloads is None else payloads).selectExpr(
+        "message_id", "order_key AS l_orderkey", "payload"
     )
-    return lookup_join(lines, by_order, ["l_orderkey"], "inner").select(
+    return lookup_join(lines, by_order, ["l_orderkey"], "inner").selectExpr(
         "message_id",
-        F.lit(0).alias("att_pos"),
-        F.lit("application/pdf").alias("content_type"),
-        F.col("l_linenumber").alias("page_no"),
-        F.lit(0).alias("phase"),
-        F.col("l_suppkey").alias("image_no"),
-        F.col("l_partkey").alias("method_no"),
-        F.when(F.col("l_linenumber") >= 3, F.col("payload")).otherwise("A*B").alias("text"),
+        "0 AS att_pos",
+        "'application/pdf' AS content_type",
+        "l_linenumber AS page_no",
+        "0 AS phase",
+        "l_suppkey AS image_no",
+        "l_partkey AS method_no",
+        "if(l_linenumber >= 3, payload, 'A*B') AS text",
     )
 
 
@@ -186,45 +149,35 @@ def classifier_answers(
     smallest = (
         posted_lines(spark, sf_dir).groupBy("vendor_no").agg(F.min("account").alias("account"))
     )
-    asked = (qr_messages(spark, sf_dir) if payloads is None else payloads).select(
-        "message_id", "order_key", vendor_no(F.col("supp")).alias("vendor_no")
+    asked = (qr_messages(spark, sf_dir) if payloads is None else payloads).selectExpr(
+        "message_id", "order_key", f"{_vendor_no('supp')} AS vendor_no"
     )
-    return lookup_join(asked, smallest, ["vendor_no"], "inner").select(
-        "message_id",
-        _case(F.col("order_key") % 5 == 0, "99999", F.concat(F.lit("  "), "account", F.lit(" "))).alias("answer"),
+    return lookup_join(asked, smallest, ["vendor_no"], "inner").selectExpr(
+        "message_id", "if(order_key % 5 = 0, '99999', concat('  ', account, ' ')) AS answer"
     )
 
 
 def mail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`raw`: one exported message per order, as JSON text."""
-    k = F.col("o_orderkey")
     orders = spread(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    cust = F.col("o_custkey")
-    address = F.struct(
-        F.when(cust % 7 != 0, F.col("c_name")).alias("name"),
-        F.concat(F.lit("c"), cust.cast("string"), F.lit("@example.com")).alias("address"),
-    )
-    content = _case(k % 19 == 4, "!!", F.lit("JVBERi0="))
-    attachment = F.struct(
-        F.lit("invoice.pdf").alias("name"),
-        F.lit("application/pdf").alias("contentType"),
-        content.alias("contentBytes"),
-        F.lit(5).alias("size"),
-    )
-    message = F.struct(
-        k.cast("string").alias("id"),
-        F.concat(F.lit("<"), k.cast("string"), F.lit("@mb>")).alias("internetMessageId"),
-        F.struct(address.alias("emailAddress")).alias("sender"),
-        F.when(k % 23 != 5, F.concat(F.lit("Invoice "), k.cast("string"))).alias("subject"),
-        F.struct(F.col("o_orderpriority").alias("content")).alias("body"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("receivedDateTime"),
-        F.lit(False).alias("isDraft"),
-        F.when(k % 19 != 3, F.array(attachment)).alias("attachments"),
+    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").selectExpr(
+        """to_json(named_struct(
+            'id', string(o_orderkey),
+            'internetMessageId', concat('<', o_orderkey, '@mb>'),
+            'sender', named_struct('emailAddress', named_struct(
+                'name', if(o_custkey % 7 <> 0, c_name, NULL),
+                'address', concat('c', o_custkey, '@example.com'))),
+            'subject', if(o_orderkey % 23 <> 5, concat('Invoice ', o_orderkey), NULL),
+            'body', named_struct('content', o_orderpriority),
+            'receivedDateTime', date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+            'isDraft', false,
+            'attachments', if(o_orderkey % 19 <> 3, array(named_struct(
+                'name', 'invoice.pdf', 'contentType', 'application/pdf',
+                'contentBytes', if(o_orderkey % 19 = 4, '!!', 'JVBERi0='), 'size', 5)), NULL))) AS raw"""
     )
-    return orders.join(customer, cust == F.col("c_custkey"), "left").select(F.to_json(message).alias("raw"))
 
 
 def parsed_mail(raw: DataFrame) -> DataFrame:
@@ -233,51 +186,42 @@ def parsed_mail(raw: DataFrame) -> DataFrame:
 
 def document_mail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`raw`: one message per document; the document's text is the attachment."""
-    d = F.col("doc_id")
-    encoded = F.regexp_replace(F.base64(F.encode("text", "UTF-8")), "\r\n", "")
-    attachment = F.struct(
-        F.col("source").alias("name"),
-        F.when(F.col("lang").isin("en", "de"), "application/pdf").otherwise("text/plain").alias("contentType"),
-        _case(d % 7 == 0, "!!", encoded).alias("contentBytes"),
-        F.col("n_chars").alias("size"),
+    return spread(table(spark, sf_dir, "documents")).selectExpr(
+        """to_json(named_struct(
+            'id', concat('users/mb/Messages/', doc_id),
+            'sender', named_struct('emailAddress', named_struct('address', concat(lang, '@example.com'))),
+            'subject', if(doc_id % 11 <> 0, concat('Document ', doc_id), NULL),
+            'body', named_struct('content', lang),
+            'hasAttachments', true,
+            'attachments', array(named_struct(
+                'name', source,
+                'contentType', if(lang IN ('en', 'de'), 'application/pdf', 'text/plain'),
+                'contentBytes', if(doc_id % 7 = 0, '!!', translate(base64(encode(text, 'UTF-8')), '\r\n', '')),
+                'size', n_chars)))) AS raw"""
     )
-    message = F.struct(
-        F.concat(F.lit("users/mb/Messages/"), d.cast("string")).alias("id"),
-        F.struct(F.struct(F.concat("lang", F.lit("@example.com")).alias("address")).alias("emailAddress")).alias("sender"),
-        F.when(d % 11 != 0, F.concat(F.lit("Document "), d.cast("string"))).alias("subject"),
-        F.struct(F.col("lang").alias("content")).alias("body"),
-        F.lit(True).alias("hasAttachments"),
-        F.array(attachment).alias("attachments"),
-    )
-    return spread(table(spark, sf_dir, "documents")).select(F.to_json(message).alias("raw"))
+
+
+_BODY = "to_json(named_struct('value', array(named_struct('resource', concat('users/mb/messages/', {})))))"
 
 
 def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, ts, body: one notification per event; errors are notified without a value."""
-    resource = F.concat(F.lit("users/mb/messages/"), F.col("user_id").cast("string"))
-    body = F.struct(F.array(F.struct(resource.alias("resource"))).alias("value"))
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
-        _case(F.col("event_type") == "error", "{}", F.to_json(body)).alias("body"),
+        "cast(ts AS timestamp) AS ts",
+        f"if(event_type = 'error', '{{}}', {_BODY.format('user_id')}) AS body",
     )
 
 
 def mailbox_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notifications of the whole run: every order once, every event once more for its user's
     message; events of type error name a message that does not exist."""
-
-    def body(resource: Column) -> Column:
-        return F.to_json(F.struct(F.array(F.struct(resource.alias("resource"))).alias("value")))
-
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").cast("timestamp").alias("ts"),
-        body(F.concat(F.lit("users/mb/messages/"), F.col("o_orderkey").cast("string"))).alias("body"),
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderdate AS timestamp) AS ts", f"{_BODY.format('o_orderkey')} AS body"
     )
-    missing = F.when(F.col("event_type") == "error", "X").otherwise("")
-    events = table(spark, sf_dir, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"),
-        body(F.concat(F.lit("users/mb/messages/"), missing, F.col("user_id").cast("string"))).alias("body"),
+    target = "if(event_type = 'error', 'X', ''), user_id"
+    events = table(spark, sf_dir, "events").selectExpr(
+        "cast(ts AS timestamp) AS ts", f"{_BODY.format(target)} AS body"
     )
     return orders.unionByName(events)
 
