@@ -14,7 +14,6 @@ from faturaflow.config import JobConfig
 from faturaflow.operators.joins import lookup_join
 from faturaflow.plans.invoice_run import Inputs
 from faturaflow.sources import messages, notifications
-from faturaflow.sources.stage import spread
 
 BUYER = "500000000"
 CONFIG = JobConfig(buyer_nif=BUYER, recipients="ap@example.com, audit@example.com")
@@ -31,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The test tables are one file each: rows over all cores where a scan has fewer splits.
+    An input with enough splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _padded(value: str, width: int) -> str:
     """SQL: digits with leading zeros; longer numbers keep all their digits."""
     return f"lpad({value}, greatest(length(string({value})), {width}), '0')"

@@ -38,10 +38,15 @@ def attachments(raw: Column) -> Column:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """Flat message columns. `readable` is false where sender, subject or body is missing;
-    such a message counts as not found."""
+    """Flat message columns. `readable` is false where id, sender, subject or body is missing;
+    such a message counts as not found.
+
+    `message_id` is never NULL: joins on it then derive no null filter, which would
+    parse a JSON message twice.
+    """
     m = messages.select(
-        text.message_id(F.col("id")).alias("message_id"),
+        F.coalesce(text.message_id(F.col("id")), F.lit("")).alias("message_id"),
+        F.col("id").isNotNull().alias("_has_id"),
         F.coalesce("internetMessageId", F.lit("")).alias("internet_message_id"),
         F.col("sender.emailAddress").alias("_sender"),
         F.col("subject"),
@@ -62,7 +67,10 @@ def parse(messages: DataFrame) -> DataFrame:
         "attachments",
         (F.size("attachments") > 0).alias("has_attachments"),
         (
-            F.col("_sender").isNotNull() & F.col("subject").isNotNull() & F.col("body").isNotNull()
+            F.col("_has_id")
+            & F.col("_sender").isNotNull()
+            & F.col("subject").isNotNull()
+            & F.col("body").isNotNull()
         ).alias("readable"),
     )
 

@@ -15,10 +15,14 @@ def parse_body(body: Column) -> Column:
 
 
 def message_ids(batches: DataFrame, value: str = "value", ts: str | None = "ts") -> DataFrame:
-    """One row per event of every batch; a batch without `value` gives none."""
+    """One row per event of every batch; a batch without `value` gives none.
+
+    The outer form keeps Catalyst from deriving a filter on the array, which would
+    parse a JSON body twice.
+    """
     keep = [F.col(ts).cast("timestamp").alias("ts")] if ts else []
-    events = batches.select(*keep, F.explode(value).alias("event"))
-    return events.select(
+    events = batches.select(*keep, F.explode_outer(value).alias("event"))
+    return events.filter(F.col("event").isNotNull()).select(
         text.message_id(text.last_segment(F.col("event.resource"))).alias("message_id"),
         *(["ts"] if ts else []),
     )

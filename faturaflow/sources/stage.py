@@ -33,13 +33,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, where the input has fewer splits than cores. For heavy per-row work
-    on a small number of files; an input with enough splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 class Stage:
     """Named Parquet tables under one folder. A table once complete is reused, not recomputed:
     a replayed run goes on from it and gives the same numbers."""

@@ -43,7 +43,7 @@ def test_required_fields(spark, missing):
 
 def test_not_found_error_object_is_not_readable(spark):
     row = mail(spark, {"error": {"code": "ErrorItemNotFound"}}).first()
-    assert row.readable is False and row.message_id is None
+    assert row.readable is False and row.message_id == ""
 
 
 def test_attachment_decoding(spark):
