@@ -77,18 +77,32 @@ def resolve(
 def listings(posted_lines: DataFrame) -> DataFrame:
     """One text per vendor: its distinct accounts with their descriptions, sorted.
 
-    Distinct runs first, with partial aggregation, so only the listing itself
-    reaches the task that writes it.
+    Repeats go first, with partial aggregation, and entries are joined per account
+    before they are joined per vendor, so a vendor with very many lines is spread
+    over tasks until only its listing is left.
     """
-    return (
+    entries = (
         posted_lines.filter(F.col("vendor_no").isNotNull())
         .select(
-            "vendor_no",
-            F.concat_ws(" ", F.col("account"), F.col("description")).alias("entry"),
+            "vendor_no", "account", F.concat_ws(" ", F.col("account"), F.col("description")).alias("entry")
         )
         .distinct()
-        .groupBy("vendor_no")
-        .agg(F.expr("listagg(entry, '\\n') within group (order by entry)").alias("listing"))
+    )
+    per_account = entries.groupBy("vendor_no", "account").agg(
+        F.expr("listagg(entry, '\n') within group (order by entry)").alias("block")
+    )
+    return per_account.groupBy("vendor_no").agg(
+        F.expr("listagg(block, '\n') within group (order by account)").alias("listing")
+    )
+
+
+def attachments_text(texts: DataFrame) -> DataFrame:
+    """One text per message from its attachment texts, for classification requests."""
+    entry = F.concat(F.lit("Arquivo: "), F.col("filename"), F.lit(", Conteúdo: "), F.col("text"))
+    return (
+        texts.select("message_id", "att_pos", entry.alias("entry"))
+        .groupBy("message_id")
+        .agg(F.expr("listagg(entry, '\n') within group (order by att_pos)").alias("attachments_text"))
     )
 
 

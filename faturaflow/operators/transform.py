@@ -129,6 +129,14 @@ def valid_documents(records: DataFrame, lines: DataFrame) -> DataFrame:
 def match_lines(headers: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines that have a header, headers without any line). For tables from elsewhere."""
     matched = lookup_join(lines, headers.select("document_no").distinct(), ["document_no"], "left_semi")
-    missing = lookup_join(headers, lines.select("document_no").distinct(), ["document_no"], "left_anti")
+    missing = lookup_join(headers, _documents(lines), ["document_no"], "left_anti")
     return matched, missing.withColumn("status", F.lit("NO_LINES"))
 
+
+def with_lines(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """Headers that have at least one line."""
+    return lookup_join(headers, _documents(lines), ["document_no"], "left_semi")
+
+
+def _documents(lines: DataFrame) -> DataFrame:
+    return lines.select("document_no").distinct()

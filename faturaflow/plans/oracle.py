@@ -177,6 +177,20 @@ PARTS: dict[str, str] = {
     g.vat_percent, g.posting_group AS vat_prod_posting_group,
     'IRSINDEP23' AS withholding_tax_code, 'G/L Account' AS type, 'G/L Account' AS filtered_type_field
   FROM numbered n JOIN grp g ON n.message_id = g.message_id WHERE n.document_no IS NOT NULL""",
+    # Band records of new invoices joined to vendors by name, and the documents they make.
+    "fresh": """
+  SELECT g.message_id, g.h, band_order, base, g.vat, posting_group, vend.vendor_no, try_strptime(g.f, '%Y%m%d') AS d
+  FROM grp g JOIN qr ON g.message_id = qr.message_id JOIN vdir ON qr.a = vdir.vat
+  JOIN vend ON upper(vend.name) = upper(vdir.vendor_name)
+  WHERE vend.vat IS NOT NULL AND g.h IS NOT NULL
+    AND g.h NOT IN (SELECT vendor_invoice_no FROM ph UNION ALL SELECT vendor_invoice_no FROM phr)""",
+    "docs": """
+  SELECT *, 'FCA25' || lpad(CAST(n AS VARCHAR), CAST(greatest(6, length(CAST(n AS VARCHAR))) AS INTEGER), '0') AS document_no
+  FROM (SELECT *, (SELECT next_no FROM nextno) - 1 + row_number() OVER (ORDER BY message_id) AS n
+        FROM (SELECT message_id, h, min(vendor_no) AS buy_from_no, min(d) AS d,
+                row_number() OVER (PARTITION BY h ORDER BY message_id) AS place
+              FROM fresh GROUP BY message_id, h HAVING count(posting_group) > 0 AND min(d) IS NOT NULL)
+        WHERE place = 1)""",
     "pages_in": """
   SELECT CAST(conv_id AS VARCHAR) AS message_id, 'conv' || CAST(conv_id AS VARCHAR) || '.pdf' AS filename,
     turn AS page_no, text FROM conversations WHERE role <> 'system' AND text IS NOT NULL""",
@@ -311,6 +325,12 @@ WHERE NOT EXISTS (SELECT 1 FROM ph WHERE ph.vendor_invoice_no = h)
   'FCA25' || lpad(CAST(n AS VARCHAR), CAST(greatest(6, length(CAST(n AS VARCHAR))) AS INTEGER), '0') AS document_no
 FROM (SELECT message_id, (SELECT next_no FROM nextno) - 1
         + row_number() OVER (ORDER BY coalesce(f, ''), message_id) AS n FROM qr)""",
+    "record_headers": """SELECT document_no, 'Invoice' AS document_type, buy_from_no AS buy_from_vendor_no,
+  strftime(d, '%Y-%m-%d') AS document_date, h AS vendor_invoice_no FROM docs""",
+    "record_lines": """SELECT document_no,
+  10000 * row_number() OVER (PARTITION BY document_no ORDER BY band_order, vendor_no) AS line_no, '62000' AS account,
+  base AS direct_unit_cost, vat AS total_vat_amount, posting_group AS vat_prod_posting_group
+FROM fresh JOIN docs ON fresh.message_id = docs.message_id""",
     "headers": """SELECT document_no, 'Invoice' AS document_type, buy_from_no AS buy_from_vendor_no,
   strftime(d, '%Y-%m-%d') AS document_date, h AS vendor_invoice_no FROM numbered WHERE document_no IS NOT NULL""",
     "lines": "SELECT * FROM linerec",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from faturaflow import fixtures as fx
 from faturaflow.functions import text
 from faturaflow.operators import accounts, joins, numbering, payloads, qr, rejects, tax, transform, vendors
-from faturaflow.plans import invoice_run
+from faturaflow.plans import invoice_run, record_run
 from faturaflow.sinks.outbox import Outbox
 from faturaflow.sources import messages, notifications
 from faturaflow.sources.stage import Stage, shared_root
@@ -309,6 +309,36 @@ def invoice_numbering(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    v = fx.vendors(spark, sf)
+    named = vendors.resolve(_parsed(spark, sf), vendors.directory(v)).drop("status")
+    banded = tax.with_bands(named.withColumn("account", F.lit("62000")), CFG)
+    return record_run.transform_records(
+        tax.band_records(banded),
+        v,
+        fx.purchase_header(spark, sf),
+        fx.purchase_header_reg(spark, sf),
+        CFG,
+        Stage(spark),
+    )
+
+
+@query
+def record_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Headers from a plain table of band records."""
+    headers_of, _ = _records(spark, sf)
+    return headers_of.withColumn("document_date", F.date_format("document_date", "yyyy-MM-dd"))
+
+
+@query
+def record_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines from a plain table of band records; vendors that share a name multiply them."""
+    _, lines_of = _records(spark, sf)
+    return lines_of.select(
+        "document_no", "line_no", "account", "direct_unit_cost", "total_vat_amount", "vat_prod_posting_group"
+    )
+
+
 # ---------------------------------------------------------------- the whole run
 
 

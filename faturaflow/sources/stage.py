@@ -28,9 +28,14 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop_path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
 
 
 class Stage:
@@ -46,3 +51,8 @@ class Stage:
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
             df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Remove the folder, once everything that reads its tables is written."""
+        p, fs = _hadoop_path(self.spark, self.folder)
+        fs.delete(p, True)

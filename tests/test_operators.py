@@ -19,6 +19,7 @@ from faturaflow.operators import (
     transform,
     vendors,
 )
+from faturaflow.plans import record_run
 from faturaflow.sources.stage import Stage
 
 CFG = JobConfig(buyer_nif="500")
@@ -201,6 +202,13 @@ def test_classification_request(spark):
     assert "\n61 fuel\n62 rent\n" in row.prompt and "- Remetente: a@x\n- Assunto: subj" in row.prompt
 
 
+def test_attachments_text(spark, rows):
+    texts = spark.createDataFrame(
+        [("m", 1, "b", "y"), ("m", 0, "a", "x")], "message_id string, att_pos int, filename string, text string"
+    )
+    assert rows(accounts.attachments_text(texts)) == [("m", "Arquivo: a, Conteúdo: x\nArquivo: b, Conteúdo: y")]
+
+
 # ------------------------------------------------------------------ tax bands
 
 
@@ -278,6 +286,45 @@ def test_match_lines(spark, rows):
     assert rows(missing) == [("d9", "NO_LINES")]
 
 
+def test_transform_and_process_records(spark, rows):
+    cols = (
+        "message_id string, vendor_name string, vendor_invoice_no string, issue_date string, account string,"
+        "band_order int, base double, vat double, posting_group string"
+    )
+    recs = spark.createDataFrame(
+        [
+            ("m1", "beta", "N1", "20240105", "62", 0, 10.0, 0.0, "OBS-ISEN"),  # two vendors of that name
+            ("m1", "beta", "N1", "20240105", "62", 2, 5.0, 0.65, None),
+            ("m2", "Acme", "N1", "20240105", "62", 0, 1.0, 0.0, "OBS-ISEN"),  # same number, later
+            ("m3", "Acme", "K1", "20240105", "62", 0, 1.0, 0.0, "OBS-ISEN"),  # open in the ERP
+            ("m4", "Acme", "K3", "20240105", "62", 0, 1.0, 0.0, "OBS-ISEN"),  # registered
+            ("m5", "Acme", "N5", "20240105", "62", 2, 5.0, 0.65, None),  # no group at all
+            ("m6", "gamma", "N6", "20240105", "62", 0, 1.0, 0.0, "OBS-ISEN"),  # vendor without tax number
+            ("m7", "Acme", "N7", "", "62", 0, 1.0, 0.0, "OBS-ISEN"),  # no date
+            ("m8", "Acme", "N8", "20240106", "62", 0, 1.0, 0.0, "OBS-ISEN"),
+        ],
+        cols,
+    )
+    open_ = spark.createDataFrame([("FCA25000041", "K1")], "document_no string, vendor_invoice_no string")
+    reg = spark.createDataFrame([("K3",), (None,)], "vendor_invoice_no string")
+    headers, lines = record_run.transform_records(recs, vendor_frame(spark), open_, reg, CFG, Stage(spark))
+    assert rows(headers, "document_no", "buy_from_vendor_no", "vendor_invoice_no") == [
+        ("FCA25000042", "V2", "N1"),
+        ("FCA25000043", "V3", "N8"),
+    ]
+    assert rows(lines, "document_no", "line_no", "direct_unit_cost") == [
+        ("FCA25000042", 10000, 10.0),
+        ("FCA25000042", 20000, 10.0),
+        ("FCA25000042", 30000, 5.0),
+        ("FCA25000042", 40000, 5.0),
+        ("FCA25000043", 10000, 1.0),
+    ]
+    kept = lines.filter("document_no = 'FCA25000042'")
+    header_json, line_json, outcome = record_run.process_records(headers, kept)
+    assert header_json.count() == 1 and line_json.count() == 4
+    assert rows(outcome) == [("FCA25000042", "SENT"), ("FCA25000043", "NO_LINES")]
+
+
 # ------------------------------------------------------------------ numbering
 
 
