@@ -347,6 +347,13 @@ def _numbered(spark: SparkSession, sf: str) -> DataFrame:
     return invoice_run.run(events, fx.inputs(spark, sf), CFG, Stage(spark))
 
 
+def _screened(spark: SparkSession, sf: str) -> DataFrame:
+    """The run without its numbers, for queries that need only the status."""
+    ids = notifications.distinct_ids(fx.events_of(fx.mailbox_bodies(spark, sf))).select("message_id")
+    inp = fx.inputs(spark, sf)
+    return invoice_run.screen(invoice_run.classify(ids, inp, CFG), inp, CFG, Stage(spark))
+
+
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return transform.line_records(_numbered(spark, sf))
 
@@ -468,7 +475,7 @@ def narrow_line_payloads(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def reject_notices(spark: SparkSession, sf: str) -> DataFrame:
     """Every message that was not sent, with the notice to send."""
-    return rejects.rejects(_numbered(spark, sf))
+    return rejects.rejects(_screened(spark, sf))
 
 
 @query
@@ -507,7 +514,7 @@ def message_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def outcome_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Messages per status."""
-    return rejects.outcome_summary(rejects.outcomes(_numbered(spark, sf)))
+    return rejects.outcome_summary(_screened(spark, sf))
 
 
 @query
