@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faturaflow.llm import exact_dedup, simhash
+from faturaflow.llm import exact_dedup, mixing, simhash, substring
 from faturaflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +19,11 @@ def _on(name: str, f: Callable[[DataFrame], DataFrame]) -> Query:
 REGISTRY: dict[str, Query] = {
     "op7_exact_dedup": _on("documents", exact_dedup.op7_exact_dedup),
     "op8_simhash": _on("documents", simhash.op8_simhash),
+    "op9_substring": _on("documents", substring.op9_substring),
+    "op10_mix": _on("documents", mixing.op10_mix),
 }
 
 SQL: dict[str, str] = {
     "op7_exact_dedup": exact_dedup.SQL,
+    "op10_mix": mixing.SQL,
 }
