@@ -8,6 +8,8 @@ neither a hot source nor its documents ever meet in one task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,8 +23,8 @@ from faturaflow.llm.common import (
 
 #: The contract: weights repeat over the sources in order; share of all words; epochs at most.
 WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2.0
-#: Documents that a bucket holds on average, and the hex digits of the place that make buckets.
-PER_BUCKET, DIGITS = 20_000, 7
+#: Hex digits of the place that make buckets.
+DIGITS = 7
 
 
 def _place() -> Column:
@@ -73,7 +75,8 @@ def cuts(docs: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS) -> DataFr
     """
     rows = sized(docs)
     n = docs.count()
-    buckets = max(1, -(-n // PER_BUCKET))
+    # As many buckets as a bucket has documents: neither is more than a root of the input.
+    buckets = min(16**DIGITS, math.isqrt(n) + 1)
     place = F.conv(F.substring("_key", 1, DIGITS), 16, 10).cast("long")
     rows = rows.withColumn("_bucket", (place * buckets / 16**DIGITS).cast("long"))
     # Sums per bucket: partial aggregates leave a row per task, source and bucket.
