@@ -125,6 +125,9 @@ class RepeatFilter:
         parts = few_tasks(halves).mapInArrow(fill, PARTS)
         return cls(halves.sparkSession, merged(parts, log2, seen), log2, hashes)
 
+    def holds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return test_plane(self.plane.value, a, b, self.log2, self.hashes)
+
     def test(self, a: Column, b: Column) -> Column:
         plane, log2, hashes = self.plane, self.log2, self.hashes
 

@@ -29,7 +29,7 @@ from faturaflow.llm.bitplanes import (
     test_plane,
 )
 from faturaflow.llm.common import checkpointed, key_halves, text_hash
-from faturaflow.llm.textops import chunks, mix, rolling
+from faturaflow.llm.textops import chunks, mix, ranges, rolling
 
 WIDTH = 20
 #: Windows of a block that are reduced together before the shuffle.
@@ -37,7 +37,11 @@ BLOCK = 1 << 20
 SKETCH_ROWS = 2
 _NO_ID = -(1 << 63)
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-_ROWS = "a long, b long, doc_id long, th long, start long, stop long, window boolean"
+_ROWS = "a long, b long, doc_id long, th long, start long, stop long, kind long"
+#: Kinds of rows: a passage to be resolved, the first place of one, covered words.
+ASK, FIRST, SPAN = 0, 1, 2
+#: Windows of a segment on average (a power of two).
+SEGMENT = 64
 
 
 def _minimisers(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,109 +84,194 @@ def _sketch(docs: DataFrame, log2: int, width: int) -> np.ndarray:
 
 
 def _batch(cols: list[np.ndarray]) -> pa.RecordBatch:
-    kinds = [np.int64] * 6 + [bool]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.ascontiguousarray(c).astype(k, copy=False)) for c, k in zip(cols, kinds)],
-        ["a", "b", "doc_id", "th", "start", "stop", "window"],
+        [pa.array(np.ascontiguousarray(c, np.int64)) for c in cols],
+        ["a", "b", "doc_id", "th", "start", "stop", "kind"],
     )
 
 
-def _spans(doc: np.ndarray, th: np.ndarray, start: np.ndarray, width: int) -> list[np.ndarray]:
-    """Rows for repeated windows, merged where windows of a document follow each other."""
+def _spans(doc: np.ndarray, th: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
+    """Rows for covered words, merged where they follow each other in a document."""
     order = np.lexsort((start, th, doc))
-    doc, th, start = doc[order], th[order], start[order]
+    doc, th, start, stop = doc[order], th[order], start[order], stop[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (np.diff(doc) != 0) | (np.diff(th) != 0) | (np.diff(start) > width)
+    new[1:] = (np.diff(doc) != 0) | (np.diff(th) != 0) | (start[1:] > stop[:-1])
     at = np.flatnonzero(new)
     last = np.concatenate([at[1:], [len(doc)]]).astype(np.int64) - 1
     spread = mix(doc[at].view(np.uint64) + start[at].view(np.uint64)).view(np.int64)
-    return [spread, spread, doc[at], th[at], start[at], start[last] + width, np.zeros(len(at), bool)]
+    return [spread, spread, doc[at], th[at], start[at], stop[last], np.full(len(at), SPAN)]
+
+
+def _heads(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return new
 
 
 def _later(a, b, doc, th, start) -> np.ndarray:
     """Rows sorted by all five: those after the first place of their (a, b)."""
-    new = np.ones(len(a), bool)
-    new[1:] = (np.diff(a) != 0) | (np.diff(b) != 0)
-    head = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
+    head = np.maximum.accumulate(np.where(_heads(a, b), np.arange(len(a)), 0))
     return (doc != doc[head]) | (th != th[head]) | (start != start[head])
 
 
+class _Block:
+    """Passages of a block of documents: of equal ones the first is asked for, the others are spans."""
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.count = 0
+
+    def add(self, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(cols)
+        self.count += len(cols[0])
+        if self.count >= BLOCK:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        a, b, doc, th, start, stop = (np.concatenate(c) for c in zip(*self.held))
+        self.held, self.count = [], 0
+        order = np.lexsort((start, th, doc, b, a))
+        a, b, doc, th, start, stop = (x[order] for x in (a, b, doc, th, start, stop))
+        later = _later(a, b, doc, th, start)
+        asked = np.flatnonzero(_heads(a, b))
+        for k in range(0, len(asked), 1 << 17):
+            at = asked[k : k + (1 << 17)]
+            yield _batch([a[at], b[at], doc[at], th[at], start[at], stop[at], np.full(len(at), ASK)])
+        if later.any():
+            yield _batch(_spans(doc[later], th[later], start[later], stop[later]))
+
+
+def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by passage and place: the first place of a passage, and the others as spans."""
+    head = None
+    for batch in batches:
+        cols = [np.asarray(c) for c in batch.columns]
+        done = cols[6] == SPAN
+        if done.any():
+            yield _batch([c[done] for c in cols])
+        rows = [c[~done] for c in cols]
+        if not len(rows[0]):
+            continue
+        if head is not None:  # the passage that the last batch ended in may go on
+            rows = [np.concatenate([[h], c]) for h, c in zip(head, rows)]
+        a, b, doc, th, start, stop, _ = rows
+        later = _later(a, b, doc, th, start)
+        if later.any():
+            yield _batch(_spans(doc[later], th[later], start[later], stop[later]))
+        new = _heads(a, b)
+        new[0] = head is None
+        if new.any():
+            yield _batch([*(c[new] for c in rows[:6]), np.full(int(new.sum()), FIRST)])
+        last = np.flatnonzero((a == a[-1]) & (b == b[-1]))[0]
+        head = [c[last] for c in rows]
+
+
+class _Reader:
+    """Passages of every text, for windows that the sketch has seen twice."""
+
+    def __init__(self, plane, log2: int, width: int, firsts: RepeatFilter | None = None):
+        self.plane, self.log2, self.width, self.firsts = plane, log2, width, firsts
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Block()
+        for batch in batches:
+            ids = batch.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
+            ths = batch.column(1).to_numpy(zero_copy_only=False)
+            for chunk in chunks(batch.column(2)):
+                if (w := _windows(chunk, self.width)) is not None:
+                    for cols in self.passages(chunk, ids, ths, *w):
+                        yield from block.add(*cols)
+        yield from block.flush()
+
+    def passages(self, chunk, ids, ths, hashes, runs, place, whole, row):
+        used = np.unique(place[whole])
+        hit = np.zeros(len(runs), bool)
+        hit[used] = test_plane(self.plane.value, runs[used], mix(runs[used]), self.log2, SKETCH_ROWS)
+        repeated = whole & hit[place]
+        # Segments: windows from one content-defined cut to the next, in one text.
+        at = np.flatnonzero(whole)
+        if not len(at):
+            return
+        opens = (mix(runs[at]) & np.uint64(SEGMENT - 1)) == 0
+        opens |= np.concatenate([[True], (np.diff(at) != 1) | (np.diff(row[at]) != 0)])
+        first = np.flatnonzero(opens)
+        stop = np.concatenate([first[1:], [len(at)]])
+        some = np.add.reduceat(repeated[at].astype(np.int64), first) > 0
+        first, stop = first[some], stop[some]
+        if not len(first):
+            return
+        begin, end = at[first], at[stop - 1] + self.width
+        owner = chunk.first + row[begin]
+        start = begin - chunk.first_word[row[begin]]
+        doc, th = ids[owner], ths[owner]
+        if self.firsts is None:
+            a, b = (
+                ranges(h, begin, end, base).view(np.int64)
+                for h, base in ((hashes, _BASES[0]), (mix(hashes), _BASES[1]))
+            )
+            yield a, b, doc, th, start, start + (end - begin)
+            return
+        asked = self.firsts.holds(*_place_halves(doc, th, start))
+        mine = np.zeros(len(whole) + 1, np.int64)
+        np.add.at(mine, begin[asked], 1)
+        np.add.at(mine, end[asked] - self.width + 1, -1)
+        at = np.flatnonzero(repeated & (np.cumsum(mine)[:-1] > 0))
+        if len(at):
+            a, b = (
+                rolling(h, self.width, base)[at].view(np.int64)
+                for h, base in ((hashes, _BASES[0]), (mix(hashes), _BASES[1]))
+            )
+            owner = chunk.first + row[at]
+            start = at - chunk.first_word[row[at]]
+            yield a, b, ids[owner], ths[owner], start, start + self.width
+
+
+def _place_halves(doc: np.ndarray, th: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    key = mix(mix(doc.view(np.uint64)) + th.view(np.uint64)) + start.astype(np.int64).view(np.uint64)
+    return mix(key).view(np.int64), mix(key + np.uint64(1)).view(np.int64)
+
+
+def _resolved(rows: DataFrame, reader: _Reader) -> DataFrame:
+    asked = rows.mapInArrow(lambda batches: reader(batches), _ROWS)
+    order = ["a", "b", "doc_id", "th", "start"]
+    return asked.repartition("a", "b").sortWithinPartitions(*order).mapInArrow(_resolve, _ROWS)
+
+
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, th, spans array<struct<start, stop>>) of the documents that repeat an earlier window.
 
     A span is a range of word numbers that such windows cover. The place of a window is
     (doc_id, text hash, first word): rows with one doc_id and different texts come in the
     order of their hashes, and identical rows are one document.
+
+    Windows are grouped in two steps. Content-defined segments, with the words that their
+    last window reaches, are grouped first: every window of a later copy of a segment
+    repeats one of the first copy, so copies cost a row per segment. The windows of first
+    copies are then grouped one by one.
     """
     size = docs.agg(F.sum(F.length(F.col("text").cast("binary"))).alias("n")).first()["n"] or 0
     # About 6 bytes a word, and one minimiser in (width // 2 + 2) / 2 words.
     log2 = log2_cells(int(size / 6 / ((width // 2 + 2) / 2)))
     plane = docs.sparkSession.sparkContext.broadcast(_sketch(docs, log2, width))
+    rows = docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("th"), "text")
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        count = 0
-
-        def reduced() -> Iterator[pa.RecordBatch]:
-            a, b, doc, th, start = (np.concatenate([h[i] for h in held]) for i in range(5))
-            order = np.lexsort((start, th, doc, b, a))
-            a, b, doc, th, start = (x[order] for x in (a, b, doc, th, start))
-            later = _later(a, b, doc, th, start)
-            new = np.ones(len(a), bool)
-            new[1:] = (np.diff(a) != 0) | (np.diff(b) != 0)
-            for k in range(0, int(new.sum()), 1 << 17):
-                at = np.flatnonzero(new)[k : k + (1 << 17)]
-                yield _batch([a[at], b[at], doc[at], th[at], start[at], start[at] + width, np.ones(len(at), bool)])
-            if later.any():
-                yield _batch(_spans(doc[later], th[later], start[later], width))
+    segments = checkpointed(_resolved(rows, _Reader(plane, log2, width)))
+    firsts = segments.filter(F.col("kind") == FIRST)
 
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
-            ths = batch.column(1).to_numpy(zero_copy_only=False)
-            for chunk in chunks(batch.column(2)):
-                if (w := _windows(chunk, width)) is None:
-                    continue
-                hashes, runs, place, whole, row = w
-                used = np.unique(place[whole])
-                hit = np.zeros(len(runs), bool)
-                hit[used] = test_plane(plane.value, runs[used], mix(runs[used]), log2, SKETCH_ROWS)
-                at = np.flatnonzero(whole & hit[place])
-                if not len(at):
-                    continue
-                a, b = (rolling(h, width, base)[at].view(np.int64) for h, base in ((hashes, _BASES[0]), (mix(hashes), _BASES[1])))
-                owner = chunk.first + row[at]
-                held.append([a, b, ids[owner], ths[owner], at - chunk.first_word[row[at]]])
-                count += len(at)
-                if count >= BLOCK:
-                    yield from reduced()
-                    held, count = [], 0
-        if held:
-            yield from reduced()
-
-    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = None
-        for batch in batches:
-            cols = [np.asarray(c) for c in batch.columns]
-            done = ~cols[6].astype(bool)
-            if done.any():
-                yield _batch([c[done] for c in cols])
-            a, b, doc, th, start = (c[~done] for c in cols[:5])
-            if not len(a):
-                continue
-            if head is not None:  # the first place of the key that goes on from the last batch
-                a, b, doc, th, start = (np.concatenate([[h], x]) for h, x in zip(head, (a, b, doc, th, start)))
-            later = _later(a, b, doc, th, start)
-            if later.any():
-                yield _batch(_spans(doc[later], th[later], start[later], width))
-            same = np.flatnonzero((a == a[-1]) & (b == b[-1]))[0]
-            head = [x[same] for x in (a, b, doc, th, start)]
+            cols = _place_halves(*(np.asarray(c) for c in batch.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("th"), "text")
-    asked = rows.mapInArrow(ask, _ROWS)
-    sort = ["a", "b", "doc_id", "th", "start"]
-    found = asked.repartition("a", "b").sortWithinPartitions(*sort).mapInArrow(resolve, _ROWS)
+    keys = firsts.select("doc_id", "th", "start").mapInArrow(halves, "a long, b long")
+    filtered = RepeatFilter.build(keys, firsts.count(), seen=1)
+    windows = _resolved(rows, _Reader(plane, log2, width, filtered))
+
+    spans = segments.union(windows).filter(F.col("kind") == SPAN)
     # A document's spans are bounded by its own words.
-    return found.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

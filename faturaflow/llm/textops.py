@@ -46,6 +46,14 @@ def rolling(values: np.ndarray, width: int, base: int) -> np.ndarray:
     return mix((sums[width:] - sums[:n]) * down[:n])
 
 
+def ranges(values: np.ndarray, first: np.ndarray, stop: np.ndarray, base: int) -> np.ndarray:
+    """Polynomial hash of values[first:stop] for each pair."""
+    up, down = _powers(base, len(values) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)])])
+    length = (stop - first).astype(np.uint64)
+    return mix((sums[stop] - sums[first]) * down[first] + mix(length))
+
+
 class Chunk:
     """Some texts of a batch: rows first..last, their bytes, and the words in them.
 
