@@ -28,7 +28,8 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
         size = max(n, 1 << 16)
-        steps = np.full((2, size), [[base], [pow(base, -1, 1 << 64)]], np.uint64)
+        pair = np.array([[base], [pow(base, -1, 1 << 64)]], np.uint64)
+        steps = np.repeat(pair, size, axis=1)
         steps[:, 0] = 1
         have = tuple(np.cumprod(steps, axis=1))
         if size <= 4 * CHUNK_BYTES:
