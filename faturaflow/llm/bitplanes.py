@@ -7,6 +7,7 @@ low. Planes of different partitions merge exactly: twos = a2 | b2 | (a1 & b1), o
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 #: Cells per key, and the bounds of the plane's size: at most 2**29 cells, 64 MB a plane.
 CELLS_PER_KEY, LEAST_LOG2, MOST_LOG2 = 8, 16, 29
-#: Bits of a plane that travel in one row.
-SEGMENT_LOG2 = 19
+#: Bits of a plane that travel, compressed, in one row: 8 KB, so that an Arrow batch stays small.
+SEGMENT_LOG2 = 16
 PARTS = "segment int, ones binary, twos binary"
 
 
@@ -60,17 +61,21 @@ class Planes:
 
 def parts_batch(segment: int, ones: np.ndarray, twos: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([segment], pa.int32()), pa.array([ones.tobytes()]), pa.array([twos.tobytes()])],
+        [pa.array([segment], pa.int32()), *(pa.array([zlib.compress(x, 1)]) for x in (ones, twos))],
         ["segment", "ones", "twos"],
     )
 
 
+def _unpacked(part: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(part), np.uint8)
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by segment; one segment is held at a time."""
     now, ones, twos = None, None, None
     for batch in batches:
         for segment, one, two in zip(*(c.to_pylist() for c in batch.columns)):
-            one, two = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
+            one, two = _unpacked(one), _unpacked(two)
             if segment != now:
                 if now is not None:
                     yield parts_batch(now, ones, twos)
@@ -89,7 +94,7 @@ def merged(parts: DataFrame, log2: int, seen: int) -> np.ndarray:
     plane = np.zeros(1 << (log2 - 3), np.uint8)
     size = 1 << (min(SEGMENT_LOG2, log2) - 3)
     for row in whole.select("segment", keep).toLocalIterator():
-        plane[row[0] * size : (row[0] + 1) * size] = np.frombuffer(row[1], np.uint8)
+        plane[row[0] * size : (row[0] + 1) * size] = _unpacked(row[1])
     return plane
 
 

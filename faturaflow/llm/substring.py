@@ -33,7 +33,7 @@ from faturaflow.llm.textops import chunks, mix, ranges, rolling
 
 WIDTH = 20
 #: Windows of a block that are reduced together before the shuffle.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 SKETCH_ROWS = 2
 _NO_ID = -(1 << 63)
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
