@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faturaflow.llm import exact_dedup, mixing, simhash, substring
+from faturaflow.llm import exact_dedup, mixing, packing, secrets, simhash, substring, toxicity
 from faturaflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def _on(name: str, f: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 REGISTRY: dict[str, Query] = {
+    "op3_pack": _on("documents", packing.op3_pack),
+    "op5_toxicity": lambda spark, sf_dir: toxicity.op5_toxicity(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ),
+    "op6_secrets": _on("documents", secrets.op6_secrets),
     "op7_exact_dedup": _on("documents", exact_dedup.op7_exact_dedup),
     "op8_simhash": _on("documents", simhash.op8_simhash),
     "op9_substring": _on("documents", substring.op9_substring),

@@ -10,8 +10,9 @@ import pyarrow as pa
 #: Bytes of text whose arrays are held at once (one text may be longer).
 CHUNK_BYTES = 1 << 18
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes of words: all but white space.
+_NOT_SPACE = np.ones(256, bool)
+_NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 _TABLE = np.random.default_rng(42).integers(1, 1 << 63, 256, dtype=np.uint64)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -62,11 +63,11 @@ class Chunk:
     at the end the number of words.
     """
 
-    def __init__(self, first: int, offsets: np.ndarray, data: np.ndarray):
+    def __init__(self, first: int, offsets: np.ndarray, data: np.ndarray, letters: np.ndarray):
         self.first, self.last = first, first + len(offsets) - 1
         self.data = data[offsets[0] : offsets[-1]]
-        at = offsets - offsets[0]
-        word = ~_SPACE[self.data]
+        at = self.offsets = offsets - offsets[0]
+        word = letters[self.data]
         before = np.concatenate([[False], word[:-1]]) if len(word) else word
         begins = at[:-1][at[:-1] < len(word)]
         before[begins] = False
@@ -77,14 +78,17 @@ class Chunk:
         self.ends = np.flatnonzero(word & ~after) + 1
         self.first_word = np.searchsorted(self.starts, at)
 
-    def word_hashes(self) -> np.ndarray:
-        """64-bit hash of every word's bytes, made for CHUNK_BYTES of words at a time."""
+    def text(self, k: int) -> str:
+        return self.data[self.offsets[k] : self.offsets[k + 1]].tobytes().decode()
+
+    def _hashed(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """64-bit hash of the bytes of each range, made for CHUNK_BYTES at a time."""
         out = [np.zeros(0, np.uint64)]
         k = 0
-        while k < len(self.starts):
-            base = self.starts[k]
-            stop = max(k + 1, int(np.searchsorted(self.ends, base + CHUNK_BYTES, "right")))
-            s, e = self.starts[k:stop] - base, self.ends[k:stop] - base
+        while k < len(starts):
+            base = starts[k]
+            stop = max(k + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
+            s, e = starts[k:stop] - base, ends[k:stop] - base
             up, down = _powers(0x9E3779B97F4A7C15, int(e[-1]) + 1)
             terms = _TABLE[self.data[base : base + e[-1]]] * up[: e[-1]]
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
@@ -93,9 +97,20 @@ class Chunk:
             k = stop
         return np.concatenate(out)
 
+    def word_hashes(self) -> np.ndarray:
+        return self._hashed(self.starts, self.ends)
+
+    def prefix_hashes(self, lengths: list[int]) -> dict[int, np.ndarray]:
+        """By length: a hash of the first bytes of each word that has so many."""
+        out = {}
+        for n in lengths:
+            starts = self.starts[self.ends - self.starts >= n]
+            out[n] = mix(self._hashed(starts, starts + n) + np.uint64(1))
+        return out
+
 
-def chunks(texts: pa.Array) -> Iterator[Chunk]:
-    """The texts of a batch (nulls as empty), about CHUNK_BYTES at a time."""
+def chunks(texts: pa.Array, letters: np.ndarray = _NOT_SPACE) -> Iterator[Chunk]:
+    """The texts of a batch (nulls as empty), about CHUNK_BYTES at a time; letters: bytes of words."""
     texts = texts.fill_null("").cast(pa.large_string())
     n = len(texts)
     if not n:
@@ -106,5 +121,5 @@ def chunks(texts: pa.Array) -> Iterator[Chunk]:
     first = 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(at, at[first] + CHUNK_BYTES, "right")) - 1)
-        yield Chunk(first, at[first : last + 1], data)
+        yield Chunk(first, at[first : last + 1], data, letters)
         first = last
