@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faturaflow.llm import exact_dedup, mixing, packing, secrets, simhash, substring, toxicity
+from faturaflow.llm import (
+    exact_dedup,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substring,
+    toxicity,
+)
 from faturaflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +26,9 @@ def _on(name: str, f: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 REGISTRY: dict[str, Query] = {
+    "op2_quality": lambda spark, sf_dir: quality.op2_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ),
     "op3_pack": _on("documents", packing.op3_pack),
     "op5_toxicity": lambda spark, sf_dir: toxicity.op5_toxicity(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
