@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from faturaflow.llm import (
+    chat,
     exact_dedup,
     mixing,
     packing,
@@ -15,6 +16,7 @@ from faturaflow.llm import (
     simhash,
     substring,
     toxicity,
+    warc,
 )
 from faturaflow.llm.common import table
 
@@ -26,10 +28,12 @@ def _on(name: str, f: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_chat": _on("conversations", chat.op1_chat),
     "op2_quality": lambda spark, sf_dir: quality.op2_quality(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     ),
     "op3_pack": _on("documents", packing.op3_pack),
+    "op4_warc": _on("pages", warc.op4_warc),
     "op5_toxicity": lambda spark, sf_dir: toxicity.op5_toxicity(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     ),
@@ -41,6 +45,8 @@ REGISTRY: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_chat": chat.SQL,
+    "op4_warc": warc.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op10_mix": mixing.SQL,
 }
