@@ -13,13 +13,12 @@ from faturaflow.sources.stage import shared_root
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
-    scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return exact_dedup.exact_dedup(docs).filter("kept").select(*docs.columns)
+    return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ Row identity: `doc_id` need not be unique and may be null, so rows are told apar
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def own_names(*results: str):
+    """For f(docs, ...): columns of `docs` that could clash with inner ones (those that start with
+    an underscore, and `results`) have other names inside, and their own in the result."""
+
+    def wrap(f):
+        @wraps(f)
+        def run(docs: DataFrame, *args, **how) -> DataFrame:
+            other = {
+                c: f"own{i}_{c}"
+                for i, c in enumerate(docs.columns)
+                if c.startswith("_") or c in results
+            }
+            out = f(docs.withColumnsRenamed(other), *args, **how)
+            return out.withColumnsRenamed({v: k for k, v in other.items()})
+
+        return run
+
+    return wrap
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage in the shared folder of spark.checkpoint.dir (set here only if unset)."""
     spark = df.sparkSession
@@ -81,6 +101,7 @@ def key_halves(*cols: Column | str) -> tuple[Column, Column]:
     return F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)
 
 
+@own_names()
 def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """`docs` without the rows whose (doc_id, text hash) is in `dropped` (doc_id, _th).
 
@@ -99,12 +120,3 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
         keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h")), "left_anti"
     )
     return keyed.filter("not _maybe").unionByName(exact).select(*docs.columns)
-
-
-def with_columns_of(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*like.columns)
-
-
-def doc_columns(docs: DataFrame, names: Sequence[str] = ("doc_id", "text")) -> DataFrame:
-    """Only the named columns: extra ones, whatever their names, cannot clash."""
-    return docs.select(*names)

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from faturaflow.llm.bitplanes import RepeatFilter
-from faturaflow.llm.common import hot_lookup, key_halves
+from faturaflow.llm.common import hot_lookup, key_halves, own_names
 
 
 def normalised(text: Column) -> Column:
@@ -20,6 +20,7 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", "")
 
 
+@own_names()
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """All rows and columns of `docs` with `keep_id`, `group_size`, `kept`, `text_sha256`.
 
@@ -76,6 +77,12 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     return alone.unionByName(clear).unionByName(tied)
 
 
+@own_names("keep_id", "group_size", "kept", "text_sha256")
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """`docs` with one row of each group of equal texts."""
+    return exact_dedup(docs).filter("kept").select(*docs.columns)
+
+
 def op7_exact_dedup(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     return exact_dedup(docs.select("doc_id", "text")).select(

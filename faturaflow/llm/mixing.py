@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from faturaflow.llm.common import (
     checkpointed,
+    own_names,
     small_or_shuffled,
     text_hash,
     words,
@@ -128,6 +129,7 @@ def _taken() -> Column:
     return (F.col("_epochs") * F.col("size") + more).cast("long")
 
 
+@own_names()
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS) -> DataFrame:
     """All rows and columns of `docs` with size, source_size, target and taken (its words in the mix).
 
@@ -162,6 +164,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS) -> DataFra
     )
 
 
+@own_names("size", "source_size", "target", "taken")
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix as rows of `docs`: a document is there once for each time it is taken whole, and once
     more with its first words (joined by one space) if the budget ends in it."""

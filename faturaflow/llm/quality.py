@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faturaflow.llm.common import SPACES, small_or_shuffled, words
+from faturaflow.llm.common import SPACES, own_names, small_or_shuffled, words
 
 #: The contract's surface rules.
 SYMBOLS, LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = "#*$%&|<>", 20, 8, 30
@@ -124,6 +124,7 @@ def _log_ratio(target: list[float], raw: list[float]) -> list[float]:
     return [log(t) - log(r) + shift for t, r in zip(target, raw)]
 
 
+@own_names()
 def quality(docs: DataFrame, good: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """All rows and columns of `docs` with the counts, base_failed, score and kept.
 

@@ -112,17 +112,22 @@ def pair_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def log_ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     """log P(next | this) of random strings over that of identifiers, for each pair.
 
-    Each row is smoothed with a share of the uniform distribution, so that characters which
-    no sample has still count as random.
+    Random strings are smoothed with the uniform distribution, so that characters which no
+    sample has still count as random; identifiers with their own frequencies of characters.
+    Without samples of random strings every ratio is 0.
     """
+    out = np.zeros((_N, _N))
+    if not random.any():
+        return out
 
-    def model(counts: np.ndarray, share: float) -> np.ndarray:
-        table = counts.reshape(_N, _N)[1:, 1:] + 0.5
-        table /= table.sum(axis=1, keepdims=True)
-        return np.log((1 - share) * table + share / (_N - 1))
+    def model(counts: np.ndarray, base: np.ndarray, weight: float) -> np.ndarray:
+        table = counts.reshape(_N, _N)[1:, 1:]
+        return (table + weight * base) / (table.sum(axis=1, keepdims=True) + weight)
 
-    out = np.zeros((_N, _N))
-    out[1:, 1:] = model(random, 0.5) - model(ordinary, 0.001)
+    uniform = np.full(_N - 1, 1 / (_N - 1))
+    usual = ordinary.reshape(_N, _N)[1:, 1:].sum(axis=0) + 0.5
+    drawn = 0.5 * model(random, uniform, 1.0) + 0.5 * uniform
+    out[1:, 1:] = np.log(drawn) - np.log(model(ordinary, usual / usual.sum(), 20.0))
     return out
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faturaflow.llm.common import checkpointed
+from faturaflow.llm.common import checkpointed, own_names
 from faturaflow.llm.textops import Chunk, chunks, mix, rolling
 
 #: Labelled rows that are sampled at most, by hash; features of the classifier; voters.
@@ -274,6 +274,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     return Scorer(keys, weights, bias)
 
 
+@own_names()
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """All rows and columns of `docs` with held_out, score and predicted.
 
@@ -289,6 +290,12 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+@own_names("held_out", "score", "predicted")
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`docs` without the rows that the classifier calls toxic."""
+    return score_documents(docs, labels).filter("predicted = 0").select(*docs.columns)
+
+
 def op5_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     return score_documents(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")).select(

@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+
+import pytest
+
+from faturaflow.llm import chat, warc
+from faturaflow.sources.stage import shared_root
+
+PAGES = "page_id long, url string, html string"
+
+
+def pages_in():
+    big = "<p>é" + "x" * 1500
+    rows = [(i, f"http://{'abc'[i % 3]}.example.com/p/{i % 7}?q={i}", f"<html>{i}</html>" * i) for i in range(120)]
+    rows += [(200 + i, "http://Hot.Example.com/", big) for i in range(25)]
+    rows += [(300, None, None), (301, "", ""), (302, "no scheme", "small"), (303, "http://x/\r\nWARC", "a\r\n\r\nb" * 300)]
+    rows += [(400, "http://t/", big + "2")] * 3 + [(None, "http://n/", "null id")]
+    return rows
+
+
+def brute(rows):
+    top = {}
+    for i, _, h in rows:
+        if len((h or "").encode()) >= 1000:
+            top[h] = max(top.get(h, -1), i)
+    out, used = [], set()
+    for i, _, h in rows:
+        data = (h or "").encode()
+        refers = top.get(h) if len(data) >= 1000 else None
+        if refers == i and i not in used:
+            used.add(i)
+            refers = None
+        out.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if refers is not None else "response", refers))
+    return sorted(out, key=repr)
+
+
+def test_archive_round_trip(spark, tmp_path):
+    rows = pages_in()
+    df = spark.createDataFrame(rows, PAGES).repartition(4)
+    assert sorted(map(tuple, warc.op4_warc(df).collect()), key=repr) == brute(rows)
+    assert warc.op4_warc(df.limit(0)).count() == 0
+    payloads = {
+        r.page_id: r.payload
+        for r in warc.archive(df, f"file://{tmp_path}/a").filter("record_type = 'response'").collect()
+    }
+    for i, _, h in rows:
+        if i in payloads and i is not None and i < 200:
+            assert bytes(payloads[i]) == h.encode()
+    file = next((tmp_path / "a/data").glob("*.warc.gz"))
+    assert gzip.decompress(file.read_bytes()).startswith(b"WARC/1.1\r\n")
+
+
+def test_lookup_by_key(spark, tmp_path):
+    df = spark.createDataFrame(pages_in(), PAGES).repartition(4)
+    captures = warc.write_warc(df, f"{tmp_path}/data")
+    shards = warc.write_index(captures, f"{tmp_path}/index", block=4)
+    keys = spark.createDataFrame([("com,example,hot)/",), ("zz)/none",), ("com,example,a)/p/0?q=0",)], "key string")
+    found = warc.lookup(shards, f"{tmp_path}/index", keys).collect()
+    assert sorted(r.page_id for r in found) == [0, *range(200, 225)]
+
+
+@pytest.mark.parametrize(
+    "url, key",
+    [
+        ("http://www.Example.com/a/B?c=d", "com,example,www)/a/B?c=d"),
+        ("https://x.org", "org,x)"),
+        ("", ""),
+        (None, ""),
+    ],
+)
+def test_surt(spark, url, key):
+    df = spark.createDataFrame([(url,)], "url string")
+    assert df.select(warc.surt(df.url)).first()[0] == key
+
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def render(turns):
+    return "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in turns)
+
+
+def test_collapse(spark):
+    convs = {
+        1: [("user", "a")],
+        2: [("user", "a"), ("assistant", "b")],
+        3: [("user", "a"), ("assistant", "b"), ("user", "c")],
+        4: [("user", "a"), ("assistant", "x")],
+        5: [("user", "a"), ("assistant", "x")],
+        6: [(None, None), ("user", "")],
+        7: [("", ""), ("user", ""), ("user", "more")],
+        None: [("user", "no id")],
+        8: [("user", str(i)) for i in range(1000)],
+        9: [("user", str(i)) for i in range(700)],
+    }
+    rows = [(c, 10 * i, *t) for c, turns in convs.items() for i, t in enumerate(turns)]
+    out = chat.op1_chat(spark.createDataFrame(rows, TURNS).repartition(3)).collect()
+    text = {}
+    for r in sorted(out, key=lambda r: r.block):
+        text[r.conv_id] = text.get(r.conv_id, "") + r.text
+    want = {c: render((r or "", t or "") for r, t in convs[c]) for c in (3, 4, 7, None, 8)}
+    assert text == want
+    assert {r.conv_id: r.copies for r in out}[4] == 2
+    assert {r.n_turns for r in out if r.conv_id == 8} == {1000}
+    assert max(r.block for r in out) == 3
+    assert chat.op1_chat(spark.createDataFrame([], TURNS)).count() == 0
+
+
+def test_turns_with_one_number_and_null_numbers(spark):
+    rows = [(1, 0, "b", "y"), (1, 0, "a", "x"), (1, None, "s", "first"), (1, 0, "a", "x")]
+    (r,) = chat.op1_chat(spark.createDataFrame(rows, TURNS)).collect()
+    assert r.text == render([("s", "first"), ("a", "x"), ("a", "x"), ("b", "y")])
+
+
+def test_shared_root(spark):
+    assert shared_root(spark)
