@@ -34,7 +34,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RUN)
 KINDS = ("assign", "access", "hex", "markov")
 
-_N = len(ALPHABET) + 1
+_N, _PLAIN = len(ALPHABET) + 1, 62
 _CODE = np.zeros(256, np.int64)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, _N)
 
@@ -127,13 +127,16 @@ def log_ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     uniform = np.full(_N - 1, 1 / (_N - 1))
     usual = ordinary.reshape(_N, _N)[1:, 1:].sum(axis=0) + 0.5
     drawn = 0.5 * model(random, uniform, 1.0) + 0.5 * uniform
-    out[1:, 1:] = np.log(drawn) - np.log(model(ordinary, usual / usual.sum(), 20.0))
+    out[1:, 1:] = np.log(drawn) - np.log(model(ordinary, usual / usual.sum(), 1000.0))
     return out
 
 
 def mean_ratio(value: str, ratios: np.ndarray) -> float:
+    """Mean over pairs of letters and digits: separators join identifiers as well as random bytes."""
     codes = _CODE[np.frombuffer(value.encode(), np.uint8)]
-    return float(ratios[codes[:-1], codes[1:]].mean()) if len(codes) > 1 else 0.0
+    a, b = codes[:-1], codes[1:]
+    plain = (a <= _PLAIN) & (b <= _PLAIN)
+    return float(ratios[a[plain], b[plain]].mean()) if plain.any() else 0.0
 
 
 def all_spans(text: str, ratios: np.ndarray, least: float = LEAST_RATIO) -> tuple[list, list]:
