@@ -29,7 +29,7 @@ LEAST_ASSIGN = 8
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 #: Runs that the models judge: least characters, and least mean log-likelihood ratio (nats).
-RUN, LEAST_RATIO = 20, 2.0
+RUN, LEAST_RATIO = 20, 1.5
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RUN)
 KINDS = ("assign", "access", "hex", "markov")
