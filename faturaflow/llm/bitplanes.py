@@ -7,11 +7,11 @@ low. Planes of different partitions merge exactly: twos = a2 | b2 | (a1 & b1), o
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,23 @@ SEGMENT_LOG2 = 16
 PARTS = "segment int, ones binary, twos binary"
 
 
+def trim() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def frugal(run):
+    """A function for mapInArrow that gives memory back at its end, as an idle worker stays for later tasks."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return wrapped
+
+
 def log2_cells(keys: int, per_key: int = CELLS_PER_KEY, most: int = MOST_LOG2) -> int:
     """Beyond the upper bound the filter lets more keys through; it never loses one."""
     return min(most, max(LEAST_LOG2, int(max(1, keys) * per_key - 1).bit_length()))
@@ -90,7 +107,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def merged(parts: DataFrame, log2: int, seen: int) -> np.ndarray:
     """The plane of cells hit at least `seen` times (1 or 2). Its size is bounded by MOST_LOG2."""
     keep = "ones" if seen == 1 else "twos"
-    whole = parts.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge, PARTS)
+    whole = parts.repartition("segment").sortWithinPartitions("segment").mapInArrow(frugal(_merge), PARTS)
     plane = np.zeros(1 << (log2 - 3), np.uint8)
     size = 1 << (min(SEGMENT_LOG2, log2) - 3)
     for row in whole.select("segment", keep).toLocalIterator():
@@ -127,7 +144,7 @@ class RepeatFilter:
                 planes.add(*(np.asarray(c, np.int64) for c in batch.columns))
             yield from planes.segments()
 
-        parts = few_tasks(halves).mapInArrow(fill, PARTS)
+        parts = few_tasks(halves).mapInArrow(frugal(fill), PARTS)
         return cls(halves.sparkSession, merged(parts, log2, seen), log2, hashes)
 
     def holds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -136,9 +153,9 @@ class RepeatFilter:
     def test(self, a: Column, b: Column) -> Column:
         plane, log2, hashes = self.plane, self.log2, self.hashes
 
-        @F.pandas_udf("boolean")
-        def possibly(a: pd.Series, b: pd.Series) -> pd.Series:
-            x, y = (np.ascontiguousarray(s.to_numpy(np.int64)) for s in (a, b))
-            return pd.Series(test_plane(plane.value, x, y, log2, hashes))
+        @F.arrow_udf("boolean")
+        def possibly(a: pa.Array, b: pa.Array) -> pa.Array:
+            x, y = (np.asarray(s, np.int64) for s in (a, b))
+            return pa.array(test_plane(plane.value, x, y, log2, hashes))
 
         return possibly(a, b)

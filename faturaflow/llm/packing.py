@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, LongType, StructType
 
+from faturaflow.llm.bitplanes import frugal
 from faturaflow.llm.common import text_hash
 
 #: The contract: tokens of a sequence, the id after each document, and the vocabulary.
@@ -102,7 +103,7 @@ def pieces(
 
     rows = docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("_th"), "text")
     return rows.mapInArrow(
-        run, "doc_id long, _th long, piece int, start long, length long, ids binary"
+        frugal(run), "doc_id long, _th long, piece int, start long, length long, ids binary"
     )
 
 
@@ -161,7 +162,7 @@ def best_fit(
     by = F.xxhash64("doc_id", "_th", "piece")
     order = [F.pmod("_by", F.lit(ROUNDS)), F.desc("length"), "_by", "doc_id", "_th", "piece"]
     dealt = rows.withColumn("_by", by).repartition(tasks, "_by").sortWithinPartitions(*order)
-    return dealt.drop("_by").mapInArrow(run, schema)
+    return dealt.drop("_by").mapInArrow(frugal(run), schema)
 
 
 def pack(

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faturaflow.llm.bitplanes import frugal
 from faturaflow.llm.textops import chunks
 
 # Fixed values of the contract: kinds in listed order, patterns, least characters.
@@ -101,7 +102,7 @@ def pair_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             [pa.array(at), pa.array(random[at]), pa.array(total[at])], ["pair", "random", "total"]
         )
 
-    parts = docs.select("text").mapInArrow(run, "pair long, random long, total long")
+    parts = docs.select("text").mapInArrow(frugal(run), "pair long, random long, total long")
     sums = parts.groupBy("pair").agg(F.sum("random"), F.sum("total")).collect()
     random, total = np.zeros(_N * _N), np.zeros(_N * _N)
     for pair, r, t in sums:
@@ -181,7 +182,7 @@ def find_secrets(docs: DataFrame, least: float = LEAST_RATIO) -> DataFrame:
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string"
+        frugal(run), "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string"
     )
 
 

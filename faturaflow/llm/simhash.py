@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faturaflow.llm.bitplanes import frugal
 from faturaflow.llm.common import checkpointed, drop_rows, hot_lookup, text_hash
 from faturaflow.llm.components import components
 from faturaflow.operators.joins import lookup_join
@@ -71,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("_th"), "text")
-    return rows.mapInArrow(run, "doc_id long, _th long, fp long")
+    return rows.mapInArrow(frugal(run), "doc_id long, _th long, fp long")
 
 
 def _forest(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +154,7 @@ def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
         if rest.shape[1]:
             yield links(rest)
 
-    return lists.mapInArrow(run, "a long, b long")
+    return lists.mapInArrow(frugal(run), "a long, b long")
 
 
 def near_duplicates(

@@ -24,6 +24,7 @@ from faturaflow.llm.bitplanes import (
     Planes,
     RepeatFilter,
     few_tasks,
+    frugal,
     log2_cells,
     merged,
     test_plane,
@@ -80,7 +81,7 @@ def _sketch(docs: DataFrame, log2: int, width: int) -> np.ndarray:
                     planes.add(keys, mix(keys))
         yield from planes.segments()
 
-    return merged(few_tasks(docs.select("text")).mapInArrow(fill, PARTS), log2, 2)
+    return merged(few_tasks(docs.select("text")).mapInArrow(frugal(fill), PARTS), log2, 2)
 
 
 def _batch(cols: list[np.ndarray]) -> pa.RecordBatch:
@@ -174,7 +175,7 @@ class _Reader:
     def __init__(self, plane, log2: int, width: int, firsts: RepeatFilter | None = None):
         self.plane, self.log2, self.width, self.firsts = plane, log2, width, firsts
 
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
         for batch in batches:
             ids = batch.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
@@ -234,9 +235,9 @@ def _place_halves(doc: np.ndarray, th: np.ndarray, start: np.ndarray) -> tuple[n
 
 
 def _resolved(rows: DataFrame, reader: _Reader) -> DataFrame:
-    asked = rows.mapInArrow(lambda batches: reader(batches), _ROWS)
+    asked = rows.mapInArrow(frugal(reader.rows), _ROWS)
     order = ["a", "b", "doc_id", "th", "start"]
-    return asked.repartition("a", "b").sortWithinPartitions(*order).mapInArrow(_resolve, _ROWS)
+    return asked.repartition("a", "b").sortWithinPartitions(*order).mapInArrow(frugal(_resolve), _ROWS)
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -265,7 +266,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             cols = _place_halves(*(np.asarray(c) for c in batch.columns))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b"])
 
-    keys = firsts.select("doc_id", "th", "start").mapInArrow(halves, "a long, b long")
+    keys = firsts.select("doc_id", "th", "start").mapInArrow(frugal(halves), "a long, b long")
     filtered = RepeatFilter.build(keys, firsts.count(), seen=1)
     windows = _resolved(rows, _Reader(plane, log2, width, filtered))
 
@@ -322,7 +323,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     right = spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans")
     cut = keyed.filter("_maybe").join(right, ["_id", "_th"], "left").select("doc_id", "text", "spans")
     return clean.unionByName(cut).mapInArrow(
-        _finish, "doc_id long, n_words long, n_removed long, kept_text string"
+        frugal(_finish), "doc_id long, n_words long, n_removed long, kept_text string"
     )
 
 

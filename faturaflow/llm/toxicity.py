@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from faturaflow.llm.bitplanes import frugal, trim
 from faturaflow.llm.common import checkpointed, own_names
 from faturaflow.llm.textops import Chunk, chunks, mix, rolling
 
@@ -82,7 +83,7 @@ def _one_per_family(sample: DataFrame) -> pd.DataFrame:
                     ["k", "toxic", "a", "b"],
                 )
 
-    rows = sample.select("k", "toxic", "text").mapInArrow(run, "k long, toxic int, a long, b long")
+    rows = sample.select("k", "toxic", "text").mapInArrow(frugal(run), "k long, toxic int, a long, b long")
     rows = rows.toPandas().sort_values("k").drop_duplicates("a").drop_duplicates("b")
     return rows[["k", "toxic"]].reset_index(drop=True)
 
@@ -109,7 +110,7 @@ def _mine(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     pos, neg = size.get(1, 0), size.get(0, 0)
     if not pos or not neg:
         return np.zeros(0, np.uint64), np.zeros(0)
-    counted = sample.mapInArrow(count, "key long, pos long, neg long")
+    counted = sample.mapInArrow(frugal(count), "key long, pos long, neg long")
     sums = counted.groupBy("key").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ratio = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
     best = (
@@ -157,7 +158,7 @@ def _presence(sample: DataFrame, keys: np.ndarray, docs: int) -> np.ndarray:
                     [pa.array(ids[chunk.first + row]), pa.array(at.astype(np.int32))], ["k", "f"]
                 )
 
-    found = sample.select("k", "text").mapInArrow(run, "k long, f int").toPandas()
+    found = sample.select("k", "text").mapInArrow(frugal(run), "k long, f int").toPandas()
     out = np.zeros((docs, len(keys)), bool)
     out[found["k"].to_numpy(), found["f"].to_numpy()] = True
     return out
@@ -233,14 +234,15 @@ class Scorer:
     def column(self, text: Column) -> Column:
         lookup, weights, bias = self.lookup, self.weights, self.bias
 
-        @F.pandas_udf("double")
-        def score(texts: pd.Series) -> pd.Series:
+        @F.arrow_udf("double")
+        def score(texts: pa.Array) -> pa.Array:
             out = np.full(len(texts), bias)
-            for chunk in chunks(pa.array(texts, pa.large_string()), _LETTER):
+            for chunk in chunks(texts, _LETTER):
                 row, at = lookup.find(*_features(chunk))
                 size = chunk.last - chunk.first
                 out[chunk.first : chunk.last] += np.bincount(row, weights[at], size)
-            return pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))))
+            trim()
+            return pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))))
 
         return score(F.lower(F.coalesce(text, F.lit(""))))
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from faturaflow.llm.bitplanes import frugal
 from faturaflow.llm.common import checkpointed, hot_lookup
 from faturaflow.sources.stage import shared_root
 
@@ -163,7 +164,7 @@ def write_warc(pages: DataFrame, root: str) -> DataFrame:
             out.close()
 
     rows = records(pages).withColumn("key", surt(F.col("url")))
-    return checkpointed(rows.mapInArrow(run, f"key string, page_id long, nth int, {_CAPTURE}"))
+    return checkpointed(rows.mapInArrow(frugal(run), f"key string, page_id long, nth int, {_CAPTURE}"))
 
 
 def _packed(lines: list) -> bytes:
@@ -214,7 +215,7 @@ def write_index(captures: DataFrame, root: str, block: int = BLOCK) -> DataFrame
     rows = captures.select("key", "page_id", "nth", "file", "at", "size")
     # page_id splits a URL that many captures have over several shards.
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return checkpointed(dealt.mapInArrow(run, "shard string, low string, high string"))
+    return checkpointed(dealt.mapInArrow(frugal(run), "shard string, low string, high string"))
 
 
 class Shard:
@@ -278,7 +279,7 @@ def lookup(shards: DataFrame, root: str, keys: DataFrame) -> DataFrame:
     wanted = F.coalesce("key", F.lit("")).alias("key")
     asked = _shards_of(shards, keys.select(wanted).distinct())
     dealt = asked.repartition("shard").sortWithinPartitions("shard", "key")
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(frugal(run), schema)
 
 
 def _shards_of(shards: DataFrame, keys: DataFrame) -> DataFrame:
@@ -301,7 +302,7 @@ def _shards_of(shards: DataFrame, keys: DataFrame) -> DataFrame:
                 cols = [pa.array(c, pa.string()) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays(cols, ["shard", "key"])
 
-    return keys.mapInArrow(run, "shard string, key string")
+    return keys.mapInArrow(frugal(run), "shard string, key string")
 
 
 def read_records(captures: DataFrame, root: str) -> DataFrame:
@@ -338,7 +339,7 @@ def read_records(captures: DataFrame, root: str) -> DataFrame:
 
     dealt = captures.select("file", "at", "size").repartitionByRange("file", "at")
     return dealt.sortWithinPartitions("file", "at").mapInArrow(
-        run,
+        frugal(run),
         "page_id long, record_type string, refers_to long, payload_digest string, "
         "payload_bytes long, payload binary",
     )
