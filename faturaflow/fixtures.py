@@ -30,13 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The test tables are one file each: rows over all cores where a scan has fewer splits.
-    An input with enough splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _padded(value: str, width: int) -> str:
     """SQL: digits with leading zeros; longer numbers keep all their digits."""
     return f"lpad({value}, greatest(length(string({value})), {width}), '0')"
@@ -165,8 +158,8 @@ def classifier_answers(
 
 def mail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`raw`: one exported message per order, as JSON text."""
-    orders = spread(
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").selectExpr(
@@ -192,7 +185,7 @@ def parsed_mail(raw: DataFrame) -> DataFrame:
 
 def document_mail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`raw`: one message per document; the document's text is the attachment."""
-    return spread(table(spark, sf_dir, "documents")).selectExpr(
+    return table(spark, sf_dir, "documents").selectExpr(
         """to_json(named_struct(
             'id', concat('users/mb/Messages/', doc_id),
             'sender', named_struct('emailAddress', named_struct('address', concat(lang, '@example.com'))),

@@ -21,7 +21,7 @@ def pairs(payload: Column) -> Column:
 def value(pair_array: Column, key: str) -> Column:
     """Value of one key, NULL where there is none; the last of equal keys wins."""
     of_key = F.filter(pair_array, lambda p: F.startswith(p, F.lit(f"{key}:")))
-    return F.substring(F.try_element_at(of_key, F.lit(-1)), len(key) + 2, 1 << 30)
+    return F.substring_index(F.try_element_at(of_key, F.lit(-1)), ":", -1)
 
 
 def fields(payload: Column) -> Column:

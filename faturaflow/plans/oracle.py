@@ -193,7 +193,7 @@ PARTS: dict[str, str] = {
         WHERE place = 1)""",
     "pages_in": """
   SELECT CAST(conv_id AS VARCHAR) AS message_id, 'conv' || CAST(conv_id AS VARCHAR) || '.pdf' AS filename,
-    turn AS page_no, text FROM conversations WHERE role <> 'system' AND text IS NOT NULL""",
+    turn AS page_no, text FROM conversations WHERE text IS NOT NULL""",
     "texts": """
   SELECT message_id, min(filename) AS filename, string_agg(text, '' ORDER BY page_no) AS text,
     CAST(count(*) AS VARCHAR) AS pages

@@ -150,7 +150,7 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(0).alias("att_pos"),
         F.concat(F.lit("conv"), F.col("conv_id").cast("string"), F.lit(".pdf")).alias("filename"),
         F.col("turn").alias("page_no"),
-        F.when(F.col("role") != "system", F.col("text")).alias("text"),
+        "text",
     )
 
 
