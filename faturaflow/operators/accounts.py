@@ -22,6 +22,8 @@ PROMPT_RULE = (
     "📌 IMPORTANTE: Retorne APENAS o número exato da conta (No_) que melhor corresponde. "
     "A resposta deve ser EXATAMENTE igual a um dos números de conta listados acima, sem texto adicional."
 )
+LABEL_SENDER, LABEL_SUBJECT, LABEL_BODY = "- Remetente: ", "- Assunto: ", "- Conteúdo: "
+LABEL_FILES, FILE_NAME, FILE_TEXT = "- Anexos: ", "Arquivo: ", ", Conteúdo: "
 TEMPERATURE = 0.1
 MAX_TOKENS = 10
 
@@ -98,7 +100,7 @@ def listings(posted_lines: DataFrame) -> DataFrame:
 
 def attachments_text(texts: DataFrame) -> DataFrame:
     """One text per message from its attachment texts, for classification requests."""
-    entry = F.concat(F.lit("Arquivo: "), F.col("filename"), F.lit(", Conteúdo: "), F.col("text"))
+    entry = F.concat(F.lit(FILE_NAME), F.col("filename"), F.lit(FILE_TEXT), F.col("text"))
     return (
         texts.select("message_id", "att_pos", entry.alias("entry"))
         .groupBy("message_id")
@@ -120,10 +122,10 @@ def classification_requests(df: DataFrame, posted_lines: DataFrame, cfg: JobConf
         F.col("listing"),
         F.lit(""),
         F.lit(PROMPT_MAIL),
-        _line("- Remetente: ", text.display_name(F.col("sender_name"), F.col("sender_address"))),
-        _line("- Assunto: ", F.col("subject")),
-        _line("- Conteúdo: ", F.col("body")),
-        _line("- Anexos: ", F.col("attachments_text")),
+        _line(LABEL_SENDER, text.display_name(F.col("sender_name"), F.col("sender_address"))),
+        _line(LABEL_SUBJECT, F.col("subject")),
+        _line(LABEL_BODY, F.col("body")),
+        _line(LABEL_FILES, F.col("attachments_text")),
         F.lit(""),
         F.lit(PROMPT_RULE),
     ]

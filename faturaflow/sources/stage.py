@@ -39,14 +39,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 class Stage:
-    """Named Parquet tables under one folder. A table once complete is reused, not recomputed:
-    a replayed run goes on from it and gives the same numbers."""
+    """Named Parquet tables under one folder, which is that of one run or batch. A table that an
+    earlier attempt of the run completed is reused, not recomputed: a replay goes on from it and
+    gives the same numbers. A name is written once per run; a second frame under it raises."""
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.folder = folder or f"{shared_root(spark)}/stage-{uuid.uuid4().hex}"
+        self._names: set[str] = set()
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
+        if name in self._names:
+            raise ValueError(f"stage table {name!r} belongs to an earlier run; use a stage of your own")
+        self._names.add(name)
         path = f"{self.folder}/{name}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
             df.write.mode("overwrite").parquet(path)
