@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from faturaflow.config import JobConfig
 from faturaflow.functions import text
 from faturaflow.operators.joins import lookup_join
-from faturaflow.operators.status import first_failure
+from faturaflow.operators.status import AWAITING, first_failure
 
 # Fixed values of the classification request.
 SYSTEM_PROMPT = (
@@ -60,7 +60,7 @@ def resolve(
     df: DataFrame, accounts: DataFrame, cfg: JobConfig, spread_by: str = "message_id"
 ) -> DataFrame:
     """Adds `account`. One posted line: its account. More: the classifier's answer, which must
-    be one of the vendor's accounts. `df` has vendor_no, first_account, n_rows, n_accounts, answer;
+    be one of the vendor's accounts; without an answer yet, the invoice waits for it. `df` has vendor_no, first_account, n_rows, n_accounts, answer;
     `accounts` is per_vendor's result, whole, so that its one aggregation serves summary() too.
     """
     many = choices(cfg) > 1
@@ -72,6 +72,7 @@ def resolve(
     return first_failure(
         out,
         ("NO_POSTING_HISTORY", F.coalesce(choices(cfg), F.lit(0)) == 0),
+        (AWAITING, many & F.col("answer").isNull()),
         ("NO_ACCOUNT", F.col("account").isNull()),
     )
 
@@ -114,7 +115,13 @@ def classification_requests(df: DataFrame, posted_lines: DataFrame, cfg: JobConf
     `df` has message_id, vendor_no, n_rows, n_accounts, sender_name, sender_address, subject,
     body and attachments_text.
     """
-    asked = lookup_join(df.filter(choices(cfg) > 1), listings(posted_lines), ["vendor_no"], "inner")
+    asked = df.filter(choices(cfg) > 1)
+    return requests(asked, listings(posted_lines), cfg)
+
+
+def requests(asked: DataFrame, vendor_listings: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Requests with their whole prompt; `vendor_listings` is listings' result."""
+    asked = lookup_join(asked, vendor_listings, ["vendor_no"], "inner")
     lines = [
         F.lit(PROMPT_INTRO),
         F.lit(""),

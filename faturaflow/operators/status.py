@@ -23,6 +23,8 @@ NOTICE_SUBJECTS = {
     "NO_DATE": "Invalid invoice",
 }
 SENT = "SENT"
+# Not final: the invoice waits for the classifier's answer and is taken up again when it is there.
+AWAITING = "AWAITING_ACCOUNT"
 
 
 def first_failure(df: DataFrame, *checks: tuple[str, Column]) -> DataFrame:

@@ -141,6 +141,7 @@ PARTS: dict[str, str] = {
       WHEN num.a IS NULL THEN 'BAD_QR'
       WHEN v.vendor_no IS NULL THEN 'UNKNOWN_VENDOR'
       WHEN s_rows IS NULL THEN 'NO_POSTING_HISTORY'
+      WHEN s_rows > 1 AND ans.answer IS NULL THEN 'AWAITING_ACCOUNT'
       WHEN s_rows > 1 AND acc.account IS NULL THEN 'NO_ACCOUNT'
       WHEN i2 IS NULL AND i3 IS NULL AND i5 IS NULL AND i7 IS NULL THEN 'NO_TAX_COLUMNS'
       WHEN (s.n_lines > 0 AND num.h IS NULL) OR (i3 = 'abc' AND i4 IS NULL) THEN 'MISSING_FIELD'
@@ -300,6 +301,7 @@ FROM acc JOIN accsum ON acc.vendor_no = accsum.vendor_no""",
   CASE WHEN n_rows > 1 THEN acc.account ELSE first_account END AS account,
   CASE WHEN b IS NULL THEN 'BAD_QR' WHEN b <> '{BUYER}' THEN 'WRONG_BUYER' WHEN a IS NULL THEN 'BAD_QR'
     WHEN v.vendor_no IS NULL THEN 'UNKNOWN_VENDOR' WHEN n_rows IS NULL THEN 'NO_POSTING_HISTORY'
+    WHEN n_rows > 1 AND answer IS NULL THEN 'AWAITING_ACCOUNT'
     WHEN n_rows > 1 AND acc.account IS NULL THEN 'NO_ACCOUNT' END AS status
 FROM qr LEFT JOIN vdir v ON a = vat LEFT JOIN accsum s ON v.vendor_no = s.vendor_no
 LEFT JOIN ans ON qr.message_id = ans.message_id

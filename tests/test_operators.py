@@ -171,9 +171,9 @@ def test_account_resolution(spark):
         "hit": ("61", None),
         "miss": (None, "NO_ACCOUNT"),
         "other": (None, "NO_ACCOUNT"),
-        "silent": (None, "NO_ACCOUNT"),
+        "silent": (None, "AWAITING_ACCOUNT"),
         "empty": (None, "NO_ACCOUNT"),
-        "twice": (None, "NO_ACCOUNT"),  # two lines on one account still ask the classifier
+        "twice": (None, "AWAITING_ACCOUNT"),  # two lines on one account still ask the classifier
         "one": ("64", None),
         "blank": (None, "NO_ACCOUNT"),
         "new": (None, "NO_POSTING_HISTORY"),

@@ -108,7 +108,7 @@ def test_message_side_moves_once(spark):
 def test_outbox_tables_need_no_shuffle(spark):
     box = Mailbox(2, size=30)
     n = invoice_run.run(box.events(spark), box.inputs(spark), CFG, Stage(spark))
-    for name, df in invoice_run.outbox_tables(n, CFG).items():
+    for name, df in invoice_run.outbox_tables(n, box.inputs(spark), CFG).items():
         text = plan(df)
         # the only exchanges belong to the table of partition sizes
         assert "Sort [" not in text.split("BroadcastExchange")[0], name
