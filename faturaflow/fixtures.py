@@ -13,7 +13,7 @@ from faturaflow import schemas
 from faturaflow.config import JobConfig
 from faturaflow.operators.joins import lookup_join
 from faturaflow.plans.invoice_run import Inputs
-from faturaflow.sources import messages, notifications
+from faturaflow.sources import messages, notifications, tables
 
 BUYER = "500000000"
 CONFIG = JobConfig(buyer_nif=BUYER, recipients="ap@example.com, audit@example.com")
@@ -83,24 +83,32 @@ def qr_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some vendors share a name, some a tax number, some have none."""
     name = "concat('Supplier#', lpad(s_suppkey - if(s_suppkey % 13 = 5, 1, 0), 9, '0'))"
-    return table(spark, sf_dir, "supplier").selectExpr(
-        f"{_vendor_no('s_suppkey')} AS vendor_no",
-        f"if(s_suppkey % 3 = 0, lower({name}), {name}) AS name",
-        "if(s_suppkey % 10 <> 9, string(500000000 + s_suppkey - if(s_suppkey % 11 = 6, 1, 0)), NULL) AS vat",
+    erp = table(spark, sf_dir, "supplier").selectExpr(
+        f"{_vendor_no('s_suppkey')} AS `No_`",
+        f"if(s_suppkey % 3 = 0, lower({name}), {name}) AS `Name`",
+        "if(s_suppkey % 10 <> 9, 500000000 + s_suppkey - if(s_suppkey % 11 = 6, 1, 0), NULL)"
+        " AS `VAT Registration No_`",
+        "s_acctbal AS `Balance`",
     )
+    return tables.narrow(erp, "vendors")
 
 
 def purchase_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     open_orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'")
-    return open_orders.selectExpr(
-        f"concat('FCA25', {_padded('o_orderkey', 6)}) AS document_no",
-        "concat('ATCUD-', o_orderkey) AS vendor_invoice_no",
+    erp = open_orders.selectExpr(
+        f"concat('FCA25', {_padded('o_orderkey', 6)}) AS `No_`",
+        "concat('ATCUD-', o_orderkey) AS `Vendor Invoice No_`",
+        "o_orderdate AS `Document Date`",
     )
+    return tables.narrow(erp, "purchase_header")
 
 
 def purchase_header_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled_orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
-    return filled_orders.selectExpr("concat('ATCUD-', o_orderkey) AS vendor_invoice_no")
+    erp = filled_orders.selectExpr(
+        "concat('ATCUD-', o_orderkey) AS `Vendor Invoice No_`", "o_orderdate AS `Document Date`"
+    )
+    return tables.narrow(erp, "purchase_header_reg")
 
 
 def posted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,16 +117,17 @@ def posted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     many = sold.selectExpr(
-        f"{_vendor_no('l_suppkey - l_suppkey % 4')} AS vendor_no",
-        f"concat('62', {_padded('p_size', 3)}) AS account",
-        "p_type AS description",
+        f"{_vendor_no('l_suppkey - l_suppkey % 4')} AS `Buy-From Vendor No_`",
+        f"concat('62', {_padded('p_size', 3)}) AS `No_`",
+        "p_type AS `Description`",
     )
     one = table(spark, sf_dir, "supplier").selectExpr(
-        f"{_vendor_no('if(s_suppkey % 4 = 1, s_suppkey, s_suppkey - s_suppkey % 4)')} AS vendor_no",
-        "'62000' AS account",
-        "'LITERAL' AS description",
+        f"{_vendor_no('if(s_suppkey % 4 = 1, s_suppkey, s_suppkey - s_suppkey % 4)')}"
+        " AS `Buy-From Vendor No_`",
+        "'62000' AS `No_`",
+        "'LITERAL' AS `Description`",
     )
-    return many.unionByName(one)
+    return tables.narrow(many.unionByName(one), "posted_lines")
 
 
 def decode_candidates(
@@ -132,19 +141,21 @@ def decode_candidates(
     )
     return lookup_join(lines, by_order, ["l_orderkey"], "inner").selectExpr(
         "message_id",
-        "0 AS att_pos",
-        "'application/pdf' AS content_type",
-        "l_linenumber AS page_no",
-        "0 AS phase",
-        "l_suppkey AS image_no",
+        "cast(l_suppkey % 2 AS int) AS att_pos",
+        "if(l_partkey % 11 = 5, 'image/png', 'application/pdf') AS content_type",
+        "cast(l_linenumber % 3 AS int) AS page_no",
+        "cast(l_partkey % 2 AS int) AS phase",
+        "cast(l_linenumber AS bigint) AS image_no",
         "l_partkey AS method_no",
-        "if(l_linenumber >= 3, payload, 'A*B') AS text",
+        "if(l_linenumber >= 3, concat(payload, 'Z:', l_linenumber, '*'), 'A*B') AS text",
     )
 
 
 def classifier_answers(
     spark: SparkSession, sf_dir: str, payloads: DataFrame | None = None
 ) -> DataFrame:
+    """Answers for the vendor of the payload's tax number. An invoice whose vendor has another
+    number by its name, or none, may stay without one."""
     smallest = (
         posted_lines(spark, sf_dir).groupBy("vendor_no").agg(F.min("account").alias("account"))
     )
@@ -168,7 +179,7 @@ def mail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             'internetMessageId', concat('<', o_orderkey, '@mb>'),
             'sender', named_struct('emailAddress', named_struct(
                 'name', if(o_custkey % 7 <> 0, c_name, NULL),
-                'address', concat('c', o_custkey, '@example.com'))),
+                'address', if(o_custkey % 21 <> 0, concat('c', o_custkey, '@example.com'), NULL))),
             'subject', if(o_orderkey % 23 <> 5, concat('Invoice ', o_orderkey), NULL),
             'body', named_struct('content', o_orderpriority),
             'receivedDateTime', date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
@@ -225,6 +236,20 @@ def mailbox_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(events)
 
 
+#: Rounds in which the notifications of the whole run land, and the first one with all answers.
+ROUNDS, ALL_ANSWERED = 3, 2
+
+
+def landing_round(bodies: DataFrame, k: int) -> DataFrame:
+    """Round k of the notifications: those of the days of year that leave rest k - 1."""
+    return bodies.filter(F.dayofyear("ts") % ROUNDS == k - 1)
+
+
+def early_answers(answers: DataFrame) -> DataFrame:
+    """The answers that are there from the first round on."""
+    return answers.filter(F.col("message_id").try_cast("bigint") % 4 != 1)
+
+
 def events_of(bodies: DataFrame) -> DataFrame:
     parsed = bodies.select("ts", notifications.parse_body(F.col("body")).alias("n"))
     return notifications.message_ids(parsed.select("ts", "n.value"))

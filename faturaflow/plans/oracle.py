@@ -11,6 +11,41 @@ from faturaflow.operators.accounts import (
 )
 from faturaflow.operators.status import NOTICE_SUBJECTS
 
+def _gates(ids: str, answered: str = "") -> str:
+    """First gate of each row of `ids` (message_id, ...), with the answers that `answered` lets through."""
+    return f"""
+  SELECT m.*, coalesce(mail.received_at, '') AS received_at, mail.sender, mail.subject,
+    num.a, num.h, num.f, v.buy_from_no, v.vendor_no, s.n_lines, s.total,
+    CASE WHEN s_rows > 1 THEN trim(ans.answer) ELSE first_account END AS account,
+    try_strptime(num.f, '%Y%m%d') AS d,
+    coalesce(s.n_groups, 0) AS n_groups,
+    CASE WHEN mail.subject IS NULL THEN 'NOT_FOUND'
+      WHEN no_sender AND NOT (mail.has_attachments AND p.payload IS NOT NULL) THEN 'EMAIL_ERROR'
+      WHEN NOT mail.has_attachments THEN 'NO_ATTACHMENTS'
+      WHEN p.payload IS NULL THEN 'NO_QR'
+      WHEN num.b IS NULL THEN 'BAD_QR'
+      WHEN num.b <> '{BUYER}' THEN 'WRONG_BUYER'
+      WHEN num.a IS NULL THEN 'BAD_QR'
+      WHEN v.vendor_no IS NULL THEN 'UNKNOWN_VENDOR'
+      WHEN s_rows IS NULL THEN 'NO_POSTING_HISTORY'
+      WHEN s_rows > 1 AND ans.answer IS NULL THEN 'AWAITING_ACCOUNT'
+      WHEN s_rows > 1 AND acc.account IS NULL THEN 'NO_ACCOUNT'
+      WHEN i2 IS NULL AND i3 IS NULL AND i5 IS NULL AND i7 IS NULL THEN 'NO_TAX_COLUMNS'
+      WHEN (s.n_lines > 0 AND num.h IS NULL) OR (i3 = 'abc' AND i4 IS NULL) THEN 'MISSING_FIELD'
+      WHEN s.n_lines IS NULL THEN 'NO_TAX_VALUES' END AS gate
+  FROM {ids} m
+  LEFT JOIN mail ON m.message_id = mail.message_id
+  LEFT JOIN first_payload p ON m.message_id = p.message_id
+  LEFT JOIN num ON p.message_id = num.message_id
+  LEFT JOIN ans ON m.message_id = ans.message_id{answered}
+  LEFT JOIN vdir v ON num.a = v.vat
+  LEFT JOIN (SELECT vendor_no, n_rows AS s_rows, first_account FROM accsum) t ON v.vendor_no = t.vendor_no
+  LEFT JOIN acc ON v.vendor_no = acc.vendor_no AND trim(ans.answer) = acc.account
+  LEFT JOIN bandsum s ON num.message_id = s.message_id"""
+
+
+_EARLY = " AND CAST(ans.message_id AS BIGINT) % 4 <> 1"
+
 # Named sub-queries. Each may use the ones before it.
 PARTS: dict[str, str] = {
     "sums": """
@@ -45,9 +80,10 @@ PARTS: dict[str, str] = {
     'I3:' || i3, 'I4:' || i4, 'I5:' || i5, 'I6:' || i6, 'I7:' || i7, 'I8:' || i8) || '*' AS payload
   FROM inv""",
     "first_payload": """
-  SELECT message_id, arg_min(payload, (l_linenumber, l_suppkey, l_partkey)) AS payload
-  FROM qr JOIN lineitem ON k = l_orderkey
-  WHERE l_linenumber >= 3 AND length(payload) - length(replace(payload, '*', '')) >= 6 GROUP BY message_id""",
+  SELECT message_id, arg_min(found, (l_suppkey % 2, l_linenumber % 3, l_partkey % 2, l_linenumber, l_partkey)) AS payload
+  FROM (SELECT *, payload || 'Z:' || CAST(l_linenumber AS VARCHAR) || '*' AS found FROM qr JOIN lineitem ON k = l_orderkey)
+  WHERE l_linenumber >= 3 AND l_partkey % 11 <> 5 AND length(found) - length(replace(found, '*', '')) >= 6
+  GROUP BY message_id""",
     "vend": """
   SELECT 'V' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(6, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS vendor_no,
     CASE WHEN s_suppkey % 3 = 0 THEN lower(n) ELSE n END AS name,
@@ -89,7 +125,9 @@ PARTS: dict[str, str] = {
   FROM ph WHERE contains(document_no, 'FCA25')""",
     "mail": """
   SELECT CAST(o_orderkey AS VARCHAR) AS message_id,
-    coalesce(CASE WHEN o_custkey % 7 <> 0 THEN c_name END, 'c' || CAST(o_custkey AS VARCHAR) || '@example.com') AS sender,
+    CASE WHEN o_custkey % 21 = 0 THEN 'Unknown Sender' WHEN o_custkey % 7 = 0 OR c_name IS NULL
+      THEN 'c' || CAST(o_custkey AS VARCHAR) || '@example.com' ELSE c_name END AS sender,
+    o_custkey % 21 = 0 AS no_sender,
     CASE WHEN o_orderkey % 23 <> 5 THEN 'Invoice ' || CAST(o_orderkey AS VARCHAR) END AS subject,
     o_orderpriority AS body,
     strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS received_at,
@@ -127,34 +165,8 @@ PARTS: dict[str, str] = {
     coalesce(max(total) FILTER (band_order = 0), 0) + coalesce(max(total) FILTER (band_order = 1), 0)
       + coalesce(max(total) FILTER (band_order = 2), 0) + coalesce(max(total) FILTER (band_order = 3), 0) AS total
   FROM grp GROUP BY message_id""",
-    "gates": f"""
-  SELECT m.message_id, coalesce(mail.received_at, '') AS received_at, mail.sender, mail.subject,
-    num.a, num.h, num.f, v.buy_from_no, v.vendor_no, s.n_lines, s.total,
-    CASE WHEN s_rows > 1 THEN trim(ans.answer) ELSE first_account END AS account,
-    try_strptime(num.f, '%Y%m%d') AS d,
-    coalesce(s.n_groups, 0) AS n_groups,
-    CASE WHEN mail.subject IS NULL THEN 'NOT_FOUND'
-      WHEN NOT mail.has_attachments THEN 'NO_ATTACHMENTS'
-      WHEN p.payload IS NULL THEN 'NO_QR'
-      WHEN num.b IS NULL THEN 'BAD_QR'
-      WHEN num.b <> '{BUYER}' THEN 'WRONG_BUYER'
-      WHEN num.a IS NULL THEN 'BAD_QR'
-      WHEN v.vendor_no IS NULL THEN 'UNKNOWN_VENDOR'
-      WHEN s_rows IS NULL THEN 'NO_POSTING_HISTORY'
-      WHEN s_rows > 1 AND ans.answer IS NULL THEN 'AWAITING_ACCOUNT'
-      WHEN s_rows > 1 AND acc.account IS NULL THEN 'NO_ACCOUNT'
-      WHEN i2 IS NULL AND i3 IS NULL AND i5 IS NULL AND i7 IS NULL THEN 'NO_TAX_COLUMNS'
-      WHEN (s.n_lines > 0 AND num.h IS NULL) OR (i3 = 'abc' AND i4 IS NULL) THEN 'MISSING_FIELD'
-      WHEN s.n_lines IS NULL THEN 'NO_TAX_VALUES' END AS gate
-  FROM notified m
-  LEFT JOIN mail ON m.message_id = mail.message_id
-  LEFT JOIN first_payload p ON m.message_id = p.message_id
-  LEFT JOIN num ON p.message_id = num.message_id
-  LEFT JOIN ans ON m.message_id = ans.message_id
-  LEFT JOIN vdir v ON num.a = v.vat
-  LEFT JOIN (SELECT vendor_no, n_rows AS s_rows, first_account FROM accsum) t ON v.vendor_no = t.vendor_no
-  LEFT JOIN acc ON v.vendor_no = acc.vendor_no AND trim(ans.answer) = acc.account
-  LEFT JOIN bandsum s ON num.message_id = s.message_id""",
+    "gates": _gates("notified"),
+    "early_gates": _gates("notified", _EARLY),
     "screened": """
   SELECT g.*,
     CASE WHEN gate IS NOT NULL THEN gate
@@ -178,6 +190,38 @@ PARTS: dict[str, str] = {
     g.vat_percent, g.posting_group AS vat_prod_posting_group,
     'IRSINDEP23' AS withholding_tax_code, 'G/L Account' AS type, 'G/L Account' AS filtered_type_field
   FROM numbered n JOIN grp g ON n.message_id = g.message_id WHERE n.document_no IS NOT NULL""",
+    # Three landing rounds: an id is new in its first one; it may be taken up again in the second,
+    # when the other answers are there.
+    "landed": """
+  SELECT CAST(o_orderkey AS VARCHAR) AS message_id, CAST(o_orderdate AS TIMESTAMP) AS ts FROM orders
+  UNION ALL
+  SELECT CASE WHEN event_type = 'error' THEN 'X' ELSE '' END || CAST(user_id AS VARCHAR), CAST(ts AS TIMESTAMP) FROM events""",
+    "round_ids": """
+  SELECT message_id, min(dayofyear(ts) % 3) + 1 AS round, false AS again FROM landed GROUP BY message_id
+  UNION ALL
+  SELECT message_id, 2, true FROM landed WHERE TRY_CAST(message_id AS BIGINT) % 4 = 1
+  GROUP BY message_id HAVING min(dayofyear(ts) % 3) = 0""",
+    "round_gates": _gates("round_ids", " AND (m.round > 1 OR CAST(ans.message_id AS BIGINT) % 4 <> 1)"),
+    "round_taken": """
+  SELECT * FROM round_gates
+  WHERE NOT again OR (message_id IN (SELECT message_id FROM ans)
+    AND message_id IN (SELECT message_id FROM round_gates WHERE round = 1 AND gate = 'AWAITING_ACCOUNT'))""",
+    "round_screened": """
+  SELECT g.*,
+    CASE WHEN gate IS NOT NULL THEN gate
+      WHEN h IN (SELECT vendor_invoice_no FROM ph UNION ALL SELECT vendor_invoice_no FROM phr) THEN 'DUPLICATE'
+      WHEN first_sent < (round, received_at, g.message_id) THEN 'DUPLICATE'
+      WHEN f IS NOT NULL AND d IS NULL THEN 'BAD_DATE'
+      WHEN n_groups = 0 THEN 'NO_VALID_GROUP'
+      WHEN f IS NULL THEN 'NO_DATE' ELSE 'SENT' END AS status
+  FROM round_taken g LEFT JOIN (
+    SELECT h AS fh, min((round, received_at, message_id)) AS first_sent FROM round_taken
+    WHERE gate IS NULL AND d IS NOT NULL AND n_groups > 0 GROUP BY h) w ON g.h = w.fh""",
+    "round_numbered": """
+  SELECT *, CASE WHEN status = 'SENT' THEN 'FCA25' || lpad(CAST(n AS VARCHAR), CAST(greatest(6, length(CAST(n AS VARCHAR))) AS INTEGER), '0')
+    END AS document_no
+  FROM (SELECT *, (SELECT next_no FROM nextno) - 1
+          + row_number() OVER (PARTITION BY status = 'SENT' ORDER BY round, received_at, message_id) AS n FROM round_screened)""",
     # Band records of new invoices joined to vendors by name, and the documents they make.
     "fresh": """
   SELECT g.message_id, g.h, band_order, base, g.vat, posting_group, vend.vendor_no, try_strptime(g.f, '%Y%m%d') AS d
@@ -193,12 +237,13 @@ PARTS: dict[str, str] = {
               FROM fresh GROUP BY message_id, h HAVING count(posting_group) > 0 AND min(d) IS NOT NULL)
         WHERE place = 1)""",
     "pages_in": """
-  SELECT CAST(conv_id AS VARCHAR) AS message_id, 'conv' || CAST(conv_id AS VARCHAR) || '.pdf' AS filename,
+  SELECT CAST(conv_id AS VARCHAR) AS message_id, turn % 2 AS att_pos,
+    'conv' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn % 2 AS VARCHAR) || '.pdf' AS filename,
     turn AS page_no, text FROM conversations WHERE text IS NOT NULL""",
     "texts": """
   SELECT message_id, min(filename) AS filename, string_agg(text, '' ORDER BY page_no) AS text,
     CAST(count(*) AS VARCHAR) AS pages
-  FROM pages_in GROUP BY message_id HAVING length(string_agg(text, '')) > 0""",
+  FROM pages_in GROUP BY message_id, att_pos HAVING length(string_agg(text, '')) > 0""",
     "docmail": """
   SELECT CAST(doc_id AS VARCHAR) AS message_id, lang || '@example.com' AS sender_address,
     CASE WHEN doc_id % 11 <> 0 THEN 'Document ' || CAST(doc_id AS VARCHAR) END AS subject, lang AS body,
@@ -229,6 +274,7 @@ _FROM = "'Invoice sent by ' || coalesce(sender, 'Unknown Sender') || "
 _FAILED = "'Ocorreu um erro ao processar a fatura.' || chr(10) || "
 _STATUS_TEXT = f"""CASE status
     WHEN 'NOT_FOUND' THEN 'Email não encontrado ou não pode ser processado.' || chr(10) || 'ID do Email: ' || message_id
+    WHEN 'EMAIL_ERROR' THEN 'Ocorreu um erro ao processar o email.' || chr(10) || 'ID do Email: ' || message_id || chr(10) || 'Erro: no sender address'
     WHEN 'NO_ATTACHMENTS' THEN {_hint("Email não contém anexos")}
     WHEN 'NO_QR' THEN {_hint("Não foi encontrado QR code nos anexos")}
     WHEN 'WRONG_BUYER' THEN {_FROM}' it is not valid because it does not match the expected NIF number'
@@ -283,8 +329,9 @@ FROM qr""",
   coalesce(pages, '0') AS pages
 FROM (SELECT CAST(c_custkey AS VARCHAR) AS message_id FROM customer UNION
       SELECT CAST(conv_id AS VARCHAR) FROM conversations) i LEFT JOIN texts t ON i.message_id = t.message_id""",
-    "pdf_text_blocks": """SELECT message_id, page_no // 2 AS block_no, string_agg(text, '' ORDER BY page_no) AS text, count(*) AS pages
-FROM pages_in GROUP BY message_id, page_no // 2""",
+    "pdf_text_blocks": """SELECT message_id, CAST(att_pos AS BIGINT) AS att_pos, page_no // 2 AS block_no,
+  string_agg(text, '' ORDER BY page_no) AS text, count(*) AS pages
+FROM pages_in GROUP BY message_id, att_pos, page_no // 2""",
     "response_assembly": """SELECT m.message_id, subject, received_at, payload, coalesce(filename, 'No text') AS filename,
   coalesce(text, '') AS text, coalesce(pages, '0') AS pages
 FROM mail m JOIN first_payload p ON m.message_id = p.message_id LEFT JOIN texts t ON m.message_id = t.message_id
@@ -314,6 +361,17 @@ JOIN (SELECT vendor_no, string_agg(entry, chr(10) ORDER BY entry) AS listing
   ON v.vendor_no = l.vendor_no
 JOIN mail m ON qr.message_id = m.message_id
 WHERE b = '{BUYER}' AND n_rows > 1""",
+    "erp_tables": """SELECT 'vendors' AS erp_table, vendor_no AS "first", name AS "second", vat AS third FROM vend
+UNION ALL SELECT 'purchase_header', document_no, vendor_invoice_no, NULL FROM ph
+UNION ALL SELECT 'purchase_header_reg', NULL, vendor_invoice_no, NULL FROM phr
+UNION ALL SELECT 'posted_lines', vendor_no, account, description FROM posted""",
+    "run_requests": f"""SELECT n.message_id, n.vendor_no, 'gpt-4' AS model, CAST(10 AS INTEGER) AS max_tokens,
+  {_PROMPT_HEAD} || listing || {_PROMPT_TAIL} AS prompt
+FROM (SELECT message_id, vendor_no FROM early_gates WHERE gate = 'AWAITING_ACCOUNT') n
+JOIN mail m ON n.message_id = m.message_id
+JOIN (SELECT vendor_no, string_agg(entry, chr(10) ORDER BY entry) AS listing
+      FROM (SELECT DISTINCT vendor_no, account || ' ' || description AS entry FROM posted) GROUP BY vendor_no) l
+  ON n.vendor_no = l.vendor_no""",
     "tax_bands": """SELECT g.message_id, g.h AS vendor_invoice_no, 'FT' AS doc_type, coalesce(g.f, '') AS issue_date,
   'Registrada' AS situation, 'PT' AS issuer_region, '' AS buyer_region, band, base, vat, total, vat_percent, posting_group
 FROM grp g WHERE g.h IS NOT NULL""",
@@ -352,9 +410,18 @@ FROM (SELECT CAST(o_orderkey AS VARCHAR) AS document_no, count(g.message_id) AS
     "narrow_line_payloads": """SELECT document_type, document_no, line_no, CAST(quantity AS DOUBLE) AS quantity, direct_unit_cost,
   nullif(total_vat_amount, 0) AS total_vat_amount,
   CASE WHEN total_vat_amount = 0 THEN CAST(5 AS BIGINT) ELSE 6 END AS n_entries FROM linerec""",
+    "prefixed_line_payloads": """SELECT document_no, no, vat_prod_posting_group, withholding_tax_code,
+  line_no, direct_unit_cost, total_vat_amount,
+  CAST(8 + CASE WHEN total_vat_amount IS NULL THEN 0 ELSE 1 END + CASE WHEN vat_prod_posting_group IS NULL THEN 0 ELSE 1 END
+    + CASE WHEN withholding_tax_code IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_entries
+FROM (SELECT CASE WHEN l_returnflag = 'N' THEN 'F' ELSE 'P' END || CAST(l_orderkey AS VARCHAR) AS document_no,
+        CAST(l_partkey AS VARCHAR) AS no, CASE WHEN l_tax = 0 THEN 'OBS-ISEN' END AS vat_prod_posting_group,
+        CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'N' THEN 'IRSINDEP23' END AS withholding_tax_code,
+        CAST(l_linenumber * 10000 AS BIGINT) AS line_no, CAST(l_extendedprice AS DOUBLE) AS direct_unit_cost,
+        nullif(CAST(l_tax AS DOUBLE), 0) AS total_vat_amount FROM lineitem)""",
     "reject_notices": f"""SELECT message_id, status, substr(received_at, 1, 10) AS received_date,
   coalesce(sender, 'Unknown Sender') AS sender, {_STATUS_SUBJECT} AS notice_subject, {_STATUS_TEXT} AS notice_text
-FROM numbered WHERE status <> 'SENT'""",
+FROM numbered WHERE status NOT IN ('SENT', 'AWAITING_ACCOUNT')""",
     "notice_envelope": """SELECT c_custkey,
   CASE WHEN c_custkey % 5 <> 0 THEN c_name || '@example.com' END AS recipient,
   CASE WHEN c_custkey % 5 = 2 THEN lower(c_mktsegment) WHEN c_custkey % 5 > 2 THEN 'a@x;b@x' END AS cc,
@@ -362,6 +429,17 @@ FROM numbered WHERE status <> 'SENT'""",
     "message_outcomes": _OUTCOMES,
     "outcome_summary": "SELECT status, count(*) AS n_messages FROM numbered GROUP BY status",
     "stream_outcomes": _OUTCOMES,
+    "stream_rounds": """SELECT n.message_id, turn, received_at, status, document_no, n.total,
+  CASE WHEN document_no IS NOT NULL THEN buy_from_no END AS buy_from_vendor_no,
+  CASE WHEN document_no IS NOT NULL THEN strftime(d, '%Y-%m-%d') END AS document_date,
+  CASE WHEN document_no IS NOT NULL THEN n.h END AS vendor_invoice_no,
+  CASE WHEN document_no IS NOT NULL
+    THEN 10000 * row_number() OVER (PARTITION BY document_no ORDER BY band_order) END AS line_no,
+  CASE WHEN document_no IS NOT NULL THEN n.account END AS account,
+  g.base AS direct_unit_cost, g.vat AS total_vat_amount, g.posting_group AS vat_prod_posting_group
+FROM (SELECT message_id, row_number() OVER (PARTITION BY message_id ORDER BY round) AS turn, received_at, status,
+        document_no, CASE WHEN document_no IS NOT NULL THEN total END AS total, buy_from_no, d, h, account
+      FROM round_numbered) n LEFT JOIN grp g ON n.message_id = g.message_id AND document_no IS NOT NULL""",
 }
 
 
@@ -373,7 +451,7 @@ def sql(name: str) -> str:
     for part in reversed(PARTS):
         if _mentions(text, part):
             used.append(part)
-            text += PARTS[part]
+            text += "\n" + PARTS[part]
     ctes = ",\n".join(f"{p} AS ({PARTS[p]})" for p in reversed(used))
     return f"WITH {ctes}\n{body}" if ctes else body
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from faturaflow import fixtures as fx
 from faturaflow.functions import text
@@ -147,8 +149,8 @@ def qr_parse(spark: SparkSession, sf: str) -> DataFrame:
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
     return fx.table(spark, sf, "conversations").select(
         F.col("conv_id").cast("string").alias("message_id"),
-        F.lit(0).alias("att_pos"),
-        F.concat(F.lit("conv"), F.col("conv_id").cast("string"), F.lit(".pdf")).alias("filename"),
+        (F.col("turn") % 2).cast("int").alias("att_pos"),
+        F.format_string("conv%d-%d.pdf", F.col("conv_id"), F.col("turn") % 2).alias("filename"),
         F.col("turn").alias("page_no"),
         "text",
     )
@@ -167,7 +169,9 @@ def pdf_text_assembly(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def pdf_text_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """Texts as blocks of two pages."""
-    return qr.text_blocks(_pages(spark, sf), 2).select("message_id", "block_no", "text", "pages")
+    return qr.text_blocks(_pages(spark, sf), 2).select(
+        "message_id", F.col("att_pos").cast("bigint").alias("att_pos"), "block_no", "text", "pages"
+    )
 
 
 @query
@@ -182,7 +186,27 @@ def response_assembly(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# ---------------------------------------------------------------- validation and account
+# ---------------------------------------------------------------- ERP tables, validation and account
+
+
+@query
+def erp_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The four ERP tables under their own column names, cut to the columns the job reads."""
+    nothing = F.lit(None).cast("string")
+    reads = [
+        fx.vendors(spark, sf).select(F.lit("vendors").alias("erp_table"), "vendor_no", "name", "vat"),
+        fx.purchase_header(spark, sf).select(
+            F.lit("purchase_header"), "document_no", "vendor_invoice_no", nothing
+        ),
+        fx.purchase_header_reg(spark, sf).select(
+            F.lit("purchase_header_reg"), nothing, "vendor_invoice_no", nothing
+        ),
+        fx.posted_lines(spark, sf).select(F.lit("posted_lines"), "vendor_no", "account", "description"),
+    ]
+    out = reads[0]
+    for df in reads[1:]:
+        out = out.union(df)
+    return out.toDF("erp_table", "first", "second", "third")
 
 
 @query
@@ -456,6 +480,43 @@ def line_payloads(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def prefixed_line_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Line JSON of a plain line table: numbers that start with F go without their withholding code."""
+    line = fx.table(spark, sf, "lineitem").selectExpr(
+        "concat(if(l_returnflag = 'N', 'F', 'P'), l_orderkey) AS document_no",
+        "'Invoice' AS document_type",
+        "l_linenumber * 10000 AS line_no",
+        "1 AS quantity",
+        "cast(l_extendedprice AS double) AS direct_unit_cost",
+        "cast(l_tax AS double) AS total_vat_amount",
+        "'G/L Account' AS type",
+        "'G/L Account' AS filtered_type_field",
+        "string(l_partkey) AS no",
+        "if(l_tax = 0, 'OBS-ISEN', NULL) AS vat_prod_posting_group",
+        "if(l_linestatus = 'O', 'IRSINDEP23', '') AS withholding_tax_code",
+    )
+    p = payloads.line_payloads(line)
+    texts = ["Document_No", "No", "VAT_Prod_Posting_Group", "Withholding_Tax_Code"]
+    numbers = ["Direct_Unit_Cost", "Total_VAT_Amount"]
+    return p.select(
+        *(F.get_json_object("payload", f"$.{k}").alias(k.lower()) for k in texts),
+        F.get_json_object("payload", "$.Line_No").cast("bigint").alias("line_no"),
+        *(F.get_json_object("payload", f"$.{k}").cast("double").alias(k.lower()) for k in numbers),
+        F.size(F.json_object_keys("payload")).cast("bigint").alias("n_entries"),
+    )
+
+
+@query
+def run_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole run's requests, while some answers are missing: one per invoice that waits."""
+    ids = notifications.distinct_ids(fx.events_of(fx.mailbox_bodies(spark, sf))).select("message_id")
+    inp = fx.inputs(spark, sf)
+    inp = replace(inp, answers=fx.early_answers(inp.answers))
+    asked = invoice_run.requests(invoice_run.classify(ids, inp, CFG), inp, CFG)
+    return asked.select("message_id", "vendor_no", "model", "max_tokens", "prompt")
+
+
 @query
 def narrow_line_payloads(spark: SparkSession, sf: str) -> DataFrame:
     """The six-field line JSON, read back."""
@@ -534,3 +595,47 @@ def stream_outcomes(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n_lines").cast("bigint").alias("n_lines"),
         "total",
     )
+
+
+def _rounds(spark: SparkSession, sf: str) -> Outbox:
+    """The stream in three rounds: each lands its notifications and reads them as a batch. Some
+    answers are there from the second round on only."""
+    root = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"
+    bodies = fx.mailbox_bodies(spark, sf)
+    for k in range(1, fx.ROUNDS + 1):
+
+        def load(s: SparkSession, k: int = k) -> invoice_run.Inputs:
+            inp = fx.inputs(s, sf)
+            return inp if k >= fx.ALL_ANSWERED else replace(inp, answers=fx.early_answers(inp.answers))
+
+        fx.landing_round(bodies, k).select("body").write.mode("append").text(f"{root}/landing")
+        events = intake.landing_stream(spark, f"{root}/landing")
+        intake.start(events, load, CFG, f"{root}/out", available_now=True).awaitTermination()
+    return Outbox(spark, f"{root}/out")
+
+
+@query
+def stream_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """The outbox after several batches: ids and invoice numbers that come again, numbers that go on,
+    and invoices that wait for an answer and are taken up later. One row per outcome and line;
+    `turn` is the outcome's place among those of its message."""
+    outbox = _rounds(spark, sf)
+    turn = F.row_number().over(W.partitionBy("message_id").orderBy("batch_id")).cast("bigint")
+    outcomes = outbox.read("outcomes").select(
+        "message_id", turn.alias("turn"), "received_at", "status", "document_no", "total"
+    )
+    headers_out = outbox.read("headers_out").select(
+        "document_no",
+        "buy_from_vendor_no",
+        F.date_format("document_date", "yyyy-MM-dd").alias("document_date"),
+        "vendor_invoice_no",
+    )
+    lines_out = outbox.read("lines_out").select(
+        "document_no",
+        F.col("line_no").cast("bigint").alias("line_no"),
+        "account",
+        "direct_unit_cost",
+        "total_vat_amount",
+        "vat_prod_posting_group",
+    )
+    return outcomes.join(headers_out.join(lines_out, "document_no", "full"), "document_no", "full")

@@ -146,6 +146,17 @@ def test_jdbc_options_are_partitioned():
     assert o["numPartitions"] == "3" and o["partitionColumn"] == "id"
 
 
+@pytest.mark.parametrize("bounds", [[], ["m"], ["B'x", "m", "t"]])
+def test_key_predicates_put_each_row_into_one_partition(spark, bounds):
+    keys = [None, "", "A", "B'x", "B'y", "m", "ma", "t", "zz"]
+    df = spark.createDataFrame([(k,) for k in keys], "`No_` string")
+    found = []
+    for p in tables.key_predicates("No_", bounds):
+        found += [r[0] for r in df.filter(p.replace('"No_"', "`No_`").replace("''", "\\'")).collect()]
+    assert len(found) == len(keys) and set(found) == set(keys)
+    assert len(tables.key_predicates("No_", bounds)) == len(bounds) + 1
+
+
 def test_stage_reuses_a_complete_table(spark, tmp_path):
     s = stage.Stage(spark, str(tmp_path / "s"))
     assert s.table("t", spark.range(3)).count() == 3
