@@ -62,11 +62,16 @@ def _rows_at(chunk, places: np.ndarray) -> np.ndarray:
 
 
 def _suspects(chunk, codes: np.ndarray) -> list[int]:
-    """Rows that may have any match: long runs, or a keyword of the patterns."""
+    """Rows that may have any match: long runs, or a keyword of the patterns.
+
+    A run ends with its row, whatever the next row starts with."""
     some = codes > 0
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], some.view(np.int8), [0]])))
-    long_runs = edge[::2][edge[1::2] - edge[::2] >= min(RUN, 16)]
-    places = [long_runs]
+    before, after = (np.concatenate(x) for x in (([False], some[:-1]), (some[1:], [False])))
+    at = chunk.offsets[1:-1]
+    at = at[(at > 0) & (at < len(some))]
+    before[at], after[at - 1] = False, False
+    starts, ends = np.flatnonzero(some & ~before), np.flatnonzero(some & ~after) + 1
+    places = [starts[ends - starts >= min(RUN, 16)]]
     raw = chunk.data.tobytes()
     low = raw.lower()
     for word in WORDS:

@@ -232,6 +232,25 @@ def test_secrets(spark, docs, rows_in, no_docs):
     assert secrets.op6_secrets(no_docs).count() == 0
 
 
+def test_secrets_right_after_a_text_that_ends_in_a_letter(spark):
+    import pyarrow as pa
+
+    end, noise = "plain words at the end", "q7Zp0XvR2mKfT9wLbN4sJ1hYcD8e"
+    rows = [end, f"{HEX} is a hash", end, "AKIAABCDEFGHIJKL key", end, f"{noise} tail", "", "x", HEX, None, end]
+    for texts in (rows, [x for x in rows if x != end], [None, "", noise]):
+        for chunk in secrets.chunks(pa.array(texts, pa.string())):
+            want = [k for k, x in enumerate(texts) if x and re.search("[A-Za-z0-9]{16}", x)]
+            assert secrets._suspects(chunk, secrets._CODE[chunk.data]) == want
+    rng = np.random.default_rng(3)
+    keys = ["".join(rng.choice(list(secrets.ALPHABET[:62]), 32)) for _ in range(200)]
+    train = [f"token={k} " + "the cat sat near some_identifier_names of a file " * 3 for k in keys]
+    rows = list(enumerate(rows + train))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = {r.doc_id: r for r in secrets.op6_secrets(df).collect()}
+    assert [tuple(out[d])[:5] for d, _ in rows] == [(d, *brute_secrets(t)) for d, t in rows]
+    assert [out[k].spans for k in (1, 3, 5, 8)] == ["hex:0:32", "access:0:16", "markov:0:28", "hex:0:32"]
+
+
 # toxicity
 
 
