@@ -49,10 +49,18 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return [(s, KINDS[k], e) for s, k, e in sorted(found)]
 
 
-def _pairs(codes: np.ndarray) -> np.ndarray:
-    """Counts of neighbouring characters of the alphabet."""
+def _inner(offsets: np.ndarray) -> np.ndarray:
+    """Byte places at which a row begins right after the bytes of another one."""
+    at = offsets[1:-1]
+    return at[(at > 0) & (at < offsets[-1])]
+
+
+def _pairs(codes: np.ndarray, begins: np.ndarray | None = None) -> np.ndarray:
+    """Counts of neighbouring characters of the alphabet; none reaches over a place in `begins`."""
     a, b = codes[:-1], codes[1:]
     both = (a > 0) & (b > 0)
+    if begins is not None:
+        both[begins - 1] = False
     return np.bincount(a[both] * _N + b[both], minlength=_N * _N)
 
 
@@ -67,8 +75,7 @@ def _suspects(chunk, codes: np.ndarray) -> list[int]:
     A run ends with its row, whatever the next row starts with."""
     some = codes > 0
     before, after = (np.concatenate(x) for x in (([False], some[:-1]), (some[1:], [False])))
-    at = chunk.offsets[1:-1]
-    at = at[(at > 0) & (at < len(some))]
+    at = _inner(chunk.offsets)
     before[at], after[at - 1] = False, False
     starts, ends = np.flatnonzero(some & ~before), np.flatnonzero(some & ~after) + 1
     places = [starts[ends - starts >= min(RUN, 16)]]
@@ -94,7 +101,7 @@ def pair_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             for chunk in chunks(batch.column(0)):
                 codes = _CODE[chunk.data]
-                total += _pairs(codes)
+                total += _pairs(codes, _inner(chunk.offsets))
                 for k in _suspects(chunk, codes):
                     text = chunk.text(k)
                     for start, _, end in base_spans(text):

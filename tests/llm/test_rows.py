@@ -251,6 +251,20 @@ def test_secrets_right_after_a_text_that_ends_in_a_letter(spark):
     assert [out[k].spans for k in (1, 3, 5, 8)] == ["hex:0:32", "access:0:16", "markov:0:28", "hex:0:32"]
 
 
+def test_secret_models_count_no_pair_over_two_texts(spark, docs):
+    texts = ["ab", "", "cd", None, "", "token=abcdefgh1", "2x", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = Counter(p for t in texts if t for p in zip(t, t[1:]))
+    code = {c: i for i, c in enumerate(secrets.ALPHABET, 1)}
+    for parts in (1, 8):
+        random, ordinary = secrets.pair_counts(df.repartition(parts))
+        got = (random + ordinary).reshape(secrets._N, secrets._N)
+        assert got.sum() == sum(want.values())
+        assert all(got[code[a], code[b]] == n for (a, b), n in want.items())
+    one, many = (secrets.pair_counts(docs.repartition(n)) for n in (1, 7))
+    assert (one[0] == many[0]).all() and (one[1] == many[1]).all()
+
+
 # toxicity
 
 
