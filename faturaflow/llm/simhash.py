@@ -157,6 +157,23 @@ def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     return lists.mapInArrow(frugal(run), "a long, b long")
 
 
+def _grouped(docs: DataFrame, shingle: int, bits: int, seed: int) -> DataFrame:
+    """(doc_id, _th, fp, low) of every row; low is the first (no_id, doc_id, _th) of its component:
+    the smallest doc_id, null ones last, and of equal ones the smallest text hash."""
+    rows = checkpointed(fingerprints(docs, shingle, seed))
+    total = rows.count()
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_th")
+    distinct = checkpointed(
+        rows.groupBy("fp").agg(F.min(place).alias("low"), F.count(F.lit(1)).alias("n"))
+    )
+    found = components(fingerprint_links(distinct.select("fp"), bits))
+    of = lookup_join(distinct, found.withColumnRenamed("node", "fp"), ["fp"], "left")
+    of = checkpointed(of.withColumn("root", F.coalesce("root", "fp")))
+    low = of.groupBy("root").agg(F.min("low").alias("low"))
+    ids = lookup_join(of.select("fp", "root", "n"), low, ["root"], "left")
+    return hot_lookup(rows, ids.select("fp", "n", "low"), "fp", "n", total, "doc_id")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, seed: int = SEED
 ) -> DataFrame:
@@ -168,26 +185,20 @@ def near_duplicates(
     one) has fingerprint zero and links like any other. Repeated rows are one
     fingerprint. An empty table gives an empty result.
     """
-    rows = checkpointed(fingerprints(docs, shingle, seed))
-    total = rows.count()
-    distinct = checkpointed(
-        rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
+    return _grouped(docs, shingle, bits, seed).select(
+        "doc_id", "_th", "fp", F.col("low.doc_id").alias("component_id")
     )
-    found = components(fingerprint_links(distinct.select("fp"), bits))
-    of = lookup_join(distinct, found.withColumnRenamed("node", "fp"), ["fp"], "left")
-    of = checkpointed(of.withColumn("root", F.coalesce("root", "fp")))
-    low = of.groupBy("root").agg(F.min("low").alias("component_id"))
-    ids = lookup_join(of.select("fp", "root", "n"), low, ["root"], "left")
-    return hot_lookup(
-        rows, ids.select("fp", "n", "component_id"), "fp", "n", total, "doc_id"
-    ).select("doc_id", "_th", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, seed: int = SEED
+) -> DataFrame:
     """`docs` with one document of each component: the one with the smallest doc_id.
 
-    Rows without doc_id stay."""
-    found = near_duplicates(docs, **how).filter("doc_id <> component_id").select("doc_id", "_th")
+    Null ids come last, and of documents with one id, or none, the smallest text hash stays.
+    A row that repeats the kept one's doc_id and text is the same document and stays too."""
+    kept = "doc_id <=> low.doc_id and _th = low._th"
+    found = _grouped(docs, shingle, bits, seed).filter(f"not ({kept})").select("doc_id", "_th")
     return drop_rows(docs, checkpointed(found))
 
 

@@ -117,6 +117,23 @@ def test_drop_near_duplicates_keeps_the_smallest(docs, rows_in):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == want
 
 
+def test_drop_near_duplicates_leaves_one_document_of_a_group(spark):
+    def spaced(text):
+        return [text, f"{text} ", f" {text}", text.replace(" ", "  ")]
+
+    def first(texts):
+        return min(texts, key=lambda t: int(np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).view(np.int64)))
+
+    no_id, one_id, mixed = map(spaced, ("nobody knows my number", "five of the same id", "some have one"))
+    rows = [(None, t) for t in no_id] + [(5, t) for t in one_id] + [(5, "alone with a shared id")]
+    rows += [(None, mixed[0]), (9, mixed[1]), (8, mixed[2]), (8, mixed[3])]
+    want = [(None, first(no_id)), (5, first(one_id)), (5, "alone with a shared id"), (8, first(mixed[2:]))]
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        left = sorted(map(tuple, simhash.drop_near_duplicates(df).collect()), key=repr)
+        assert left == sorted(want, key=repr)
+
+
 def test_drop_rows_is_exact(spark, docs):
     keyed = docs.limit(0).selectExpr("doc_id", "xxhash64(coalesce(text, '')) AS _th")
     assert drop_rows(docs, keyed).count() == docs.count()
