@@ -1,14 +1,15 @@
-"""SimHash near-duplicates through a byte-position inverted index with count filtering.
+"""SimHash near-duplicates through an inverted index on choices of byte positions.
 
 Two fingerprints of 64 bits that differ in at most d bits differ in at most d of their 8
-bytes, so they share at least 8 - d positional bytes: the guaranteed minimum of the count
-filter. An index on single bytes would hold lists of a 256th of all fingerprints, and their
+bytes, so they share at least 8 - d positional bytes: the minimum that a count filter would
+ask for. An index on single bytes would hold lists of a 256th of all fingerprints, and their
 pairs grow with the square of the input. The postings here are keyed by every choice of
 8 - d byte positions instead: fingerprints under one key have already reached the minimum,
 and those that share no key can not. Under one key only d bytes are left to differ, so a
-list has at most 256**d fingerprints. There the shared bytes are tallied, pairs that
-reach the minimum are verified by their bits, and a list gives a spanning forest of its
-links, never all pairs of a group.
+list has at most 256**d fingerprints. So these keys replace the count filter: the tally of
+shared bytes reaches the minimum for every pair of a list and decides nothing, and longer
+lists skip it. Pairs are verified by their bits, and a list gives a spanning forest of
+its links, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from faturaflow.operators.joins import lookup_join
 
 #: The contract: 3-word shingles, XXH64 seed, and bits that may differ.
 SHINGLE, SEED, BITS = 3, 42, 2
-#: Lists up to this length are tallied pair by pair; longer ones probe every mask of a link.
+#: Lists up to this length are compared pair by pair; longer ones probe every mask of a link.
 SHORT_LIST = 64
 
 
