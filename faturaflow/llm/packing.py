@@ -1,7 +1,7 @@
-"""Packing of token sequences: bounded-space online best-fit.
+"""Packing of token sequences: bounded-space best-fit decreasing, in rounds.
 
-Every task packs its share of the pieces on its own, in an order fixed by a hash. A fixed number
-of bins is open. A bitset over free space says which bins there are, so the best fit, the
+Every task packs its share of the pieces on its own, in ROUNDS rounds fixed by a hash, the
+longest pieces of a round first. A fixed number of bins is open, over all rounds. A bitset over free space says which bins there are, so the best fit, the
 least free space that is enough, is one shift and one lowest bit away. When there are too many
 open bins, the fullest one closes first.
 """
