@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from faturaflow.llm import periodic
+from faturaflow.llm.textops import chunks
+
+
+def brute_runs(words, least_words=24, least_periods=3):
+    """Maximal stretches of every period; those whose smallest period it is."""
+    n, by_stretch = len(words), {}
+    for p in range(1, n // least_periods + 1):
+        i = 0
+        while i + p < n:
+            if words[i] != words[i + p]:
+                i += 1
+                continue
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(least_words, least_periods * p):
+                by_stretch.setdefault((i, j + p), p)
+            i = j
+    return sorted((s, e - s, p) for (s, e), p in by_stretch.items())
+
+
+def brute_planted(doc_id, text):
+    words = (text or "").encode().split()
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def brute_row(doc_id, text):
+    words = brute_planted(doc_id, text)
+    runs = brute_runs(words)
+    gone = {i for s, n, p in runs for i in range(s + p, s + n)}
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    lines = "".join(f"{s},{n},{p}\n" for s, n, p in runs)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    digests = hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest()
+    return (doc_id, len(runs), *top, *digests)
+
+
+def runs_of(texts, least_words=24):
+    out = [[] for _ in texts]
+    for chunk in chunks(pa.array(texts, pa.string())):
+        words = periodic._Words(chunk.word_hashes(), chunk.first_word)
+        for t, *run in periodic.find_runs(words, least_words, 3).tolist():
+            out[chunk.first + t].append(tuple(run))
+    return out
+
+
+def repeats(rng):
+    """A text of nested and neighbouring repeats."""
+    words = []
+    while len(words) < rng.randint(1, 400):
+        root = rng.choices("abc", k=rng.choice([1, 2, 3, 5, 8, 15, 16, 17, 31, 40]))
+        if rng.random() < 0.3:
+            root = (root * 4)[: rng.randint(1, 60)] + ["x"]
+        words += (root * 12)[: int(len(root) * rng.uniform(1, 9))]
+        words += rng.choices("abcdefgh", k=rng.choice([0, 0, 1, 9]))
+    return words
+
+
+def test_runs_against_brute_force():
+    rng = random.Random(5)
+    texts = [" ".join(repeats(rng)) for _ in range(300)] + ["a " * 700, "a b " * 300 + "a", "", "a"]
+    texts += [" ".join("ab"[bin(i).count("1") % 2] for i in range(4096)), " ".join(["a"] * 50 + ["b"] * 50) + " "]
+    texts += [" ".join((["a"] * 90 + ["b"]) * 5), texts[0], texts[0]]
+    found = runs_of(texts)
+    assert found == [brute_runs(t.split()) for t in texts]
+    assert sum(map(len, found)) > 300
+
+
+@given(st.lists(st.lists(st.sampled_from("ab"), max_size=120), max_size=4), st.sampled_from([3, 6, 24]))
+@settings(max_examples=150, deadline=None)
+def test_runs_of_two_letters(texts, least):
+    found = runs_of([" ".join(t) for t in texts], least)
+    assert found == [brute_runs(t, least) for t in texts]
+
+
+def test_slabs_do_not_matter(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(repeats(rng)) for _ in range(40)]
+    want = runs_of(texts)
+    monkeypatch.setattr(periodic, "SLAB", 64)
+    assert runs_of(texts) == want
+
+
+def test_op13_against_brute_force(spark, docs, rows_in, no_docs):
+    rng = random.Random(8)
+    more = [(1000 + k, " ".join(repeats(rng)), "en", "s", 0) for k in range(60)]
+    more += [(2000, "word " * 30_000, "en", "s", 0), (None, "a b c " * 40, "en", "s", 0)]
+    extra = spark.createDataFrame(more, "doc_id long, text string, lang string, source string, n_chars long")
+    both = docs.unionByName(extra, allowMissingColumns=True)
+    got = sorted((tuple(r) for r in periodic.op13_runs(both).collect()), key=repr)
+    long = hashlib.sha256(b"0,30000,1\n").hexdigest(), hashlib.sha256(b"word").hexdigest()
+    want = [brute_row(r[0], r[1]) for r in [*rows_in, *more] if r[0] != 2000]
+    want.append((2000, 1, 0, 30000, 1, 30_000_000, *long))
+    assert got == sorted(want, key=repr)
+    assert any(r[1] > 1 for r in got)
+    assert periodic.op13_runs(no_docs).count() == 0
+
+
+def test_periodic_runs_give_spans_and_texts(spark):
+    docs = spark.createDataFrame([(1, "x " + "a b c " * 9 + "y", "z")], "doc_id long, text string, runs string")
+    row = periodic.periodic_runs(docs).first()
+    assert [tuple(r) for r in row.runs] == [(1, 27, 3)]
+    assert (row.n_words, row.collapsed) == (29, "x a b c y")
+    with pytest.raises(ValueError):
+        periodic.periodic_runs(docs, least_periods=2)
+
+
+def test_a_long_text_of_one_word_and_breaks_takes_seconds():
+    words = np.array([7] * 300_000, np.uint64)
+    words[::75_001] = 9
+    sequence = periodic._Words(words, np.array([0, len(words)]))
+    assert periodic.find_runs(sequence, 24, 3)[:, 1:].tolist() == [
+        [75_001 * k + 1, min(75_000, 299_999 - 75_001 * k), 1] if k >= 0 else [0, 300_000, 75_001]
+        for k in [-1, 0, 1, 2, 3]
+    ]
