@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from faturaflow.llm import (
     chat,
     exact_dedup,
+    lexical,
     mixing,
     packing,
+    periodic,
     quality,
     secrets,
     simhash,
@@ -42,6 +44,10 @@ REGISTRY: dict[str, Query] = {
     "op8_simhash": _on("documents", simhash.op8_simhash),
     "op9_substring": _on("documents", substring.op9_substring),
     "op10_mix": _on("documents", mixing.op10_mix),
+    "op12_search": lambda spark, sf_dir: lexical.op12_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ),
+    "op13_runs": _on("documents", periodic.op13_runs),
 }
 
 SQL: dict[str, str] = {
@@ -49,4 +55,5 @@ SQL: dict[str, str] = {
     "op4_warc": warc.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op10_mix": mixing.SQL,
+    "op12_search": lexical.SQL,
 }
