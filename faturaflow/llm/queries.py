@@ -17,6 +17,7 @@ from faturaflow.llm import (
     secrets,
     simhash,
     substring,
+    suffix_sort,
     toxicity,
     warc,
 )
@@ -44,6 +45,7 @@ REGISTRY: dict[str, Query] = {
     "op8_simhash": _on("documents", simhash.op8_simhash),
     "op9_substring": _on("documents", substring.op9_substring),
     "op10_mix": _on("documents", mixing.op10_mix),
+    "op11_suffix": _on("documents", suffix_sort.op11_suffix),
     "op12_search": lambda spark, sf_dir: lexical.op12_search(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     ),
