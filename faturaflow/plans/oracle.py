@@ -396,7 +396,7 @@ FROM fresh JOIN docs ON fresh.message_id = docs.message_id""",
     "lines": "SELECT * FROM linerec",
     "valid_documents": """SELECT message_id AS document_no, CAST(band_order AS BIGINT) AS band_order,
   posting_group AS vat_prod_posting_group
-FROM grp WHERE message_id IN (SELECT message_id FROM grp WHERE posting_group IS NOT NULL)""",
+FROM (SELECT *, bool_or(posting_group IS NOT NULL) OVER (PARTITION BY message_id) AS valid FROM grp) WHERE valid""",
     "line_numbers": """SELECT message_id AS document_no, CAST(band_order AS BIGINT) AS band_order,
   10000 * row_number() OVER (PARTITION BY message_id ORDER BY band_order) AS line_no FROM grp""",
     "header_line_match": """SELECT document_no, n_lines, CASE WHEN n_lines = 0 THEN 'NO_LINES' END AS status
