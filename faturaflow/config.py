@@ -42,9 +42,6 @@ class JobConfig:
         deciding whether a vendor needs the classifier.
     money: Spark type of the amounts in band, header and line records.
     page_block: pages concatenated per first-level group when texts are built.
-    dedup_retention: how long the stream remembers a message id.
-    dedup_salts: first-level groups per message id in the stream, so that an id
-        repeated very often is not handled by one state partition.
     """
 
     buyer_nif: str
@@ -56,5 +53,3 @@ class JobConfig:
     recipients: str | None = None
     model: str = "gpt-4"
     page_block: int = 256
-    dedup_retention: str = "7 days"
-    dedup_salts: int = 8

@@ -109,32 +109,35 @@ def attachments_text(texts: DataFrame) -> DataFrame:
     )
 
 
+def with_ids(vendor_listings: DataFrame) -> DataFrame:
+    """Adds `listing_id`, a hash of the text: vendors with the same accounts share one listing."""
+    return vendor_listings.withColumn("listing_id", F.sha2("listing", 256))
+
+
+def listing_texts(identified: DataFrame) -> DataFrame:
+    """Each listing once, by its id."""
+    return identified.select("listing_id", "listing").distinct()
+
+
 def classification_requests(df: DataFrame, posted_lines: DataFrame, cfg: JobConfig) -> DataFrame:
-    """One request per invoice whose vendor has more than one choice.
+    """One request with its whole prompt per invoice whose vendor has more than one choice.
 
     `df` has message_id, vendor_no, n_rows, n_accounts, sender_name, sender_address, subject,
     body and attachments_text.
     """
-    asked = df.filter(choices(cfg) > 1)
-    return requests(asked, listings(posted_lines), cfg)
+    identified = with_ids(listings(posted_lines))
+    return prompts(requests(df.filter(choices(cfg) > 1), identified, cfg), listing_texts(identified))
 
 
-def requests(asked: DataFrame, vendor_listings: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Requests with their whole prompt; `vendor_listings` is listings' result."""
-    asked = lookup_join(asked, vendor_listings, ["vendor_no"], "inner")
-    lines = [
-        F.lit(PROMPT_INTRO),
-        F.lit(""),
-        F.lit(PROMPT_ACCOUNTS),
-        F.col("listing"),
-        F.lit(""),
-        F.lit(PROMPT_MAIL),
+def requests(asked: DataFrame, identified: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Requests as they are kept: the mail's part of the prompt, and the id of the listing.
+    `identified` is with_ids' result; only its ids are joined."""
+    asked = lookup_join(asked, identified.select("vendor_no", "listing_id"), ["vendor_no"], "inner")
+    mail = [
         _line(LABEL_SENDER, text.display_name(F.col("sender_name"), F.col("sender_address"))),
         _line(LABEL_SUBJECT, F.col("subject")),
         _line(LABEL_BODY, F.col("body")),
         _line(LABEL_FILES, F.col("attachments_text")),
-        F.lit(""),
-        F.lit(PROMPT_RULE),
     ]
     return asked.select(
         "message_id",
@@ -142,10 +145,29 @@ def requests(asked: DataFrame, vendor_listings: DataFrame, cfg: JobConfig) -> Da
         F.lit(cfg.model).alias("model"),
         F.lit(TEMPERATURE).alias("temperature"),
         F.lit(MAX_TOKENS).alias("max_tokens"),
-        F.lit(SYSTEM_PROMPT).alias("system_prompt"),
-        F.concat_ws("\n", *lines).alias("prompt"),
+        "listing_id",
+        F.concat_ws("\n", *mail).alias("mail"),
     )
 
 
+def prompts(kept_requests: DataFrame, texts: DataFrame) -> DataFrame:
+    """The requests with their whole prompt: a view, as the listing is in every one of them."""
+    lines = [
+        F.lit(PROMPT_INTRO),
+        F.lit(""),
+        F.lit(PROMPT_ACCOUNTS),
+        F.col("listing"),
+        F.lit(""),
+        F.lit(PROMPT_MAIL),
+        F.col("mail"),
+        F.lit(""),
+        F.lit(PROMPT_RULE),
+    ]
+    joined = lookup_join(kept_requests, texts.select("listing_id", "listing"), ["listing_id"], "inner")
+    return joined.withColumns(
+        {"system_prompt": F.lit(SYSTEM_PROMPT), "prompt": F.concat_ws("\n", *lines)}
+    ).drop("listing", "listing_id", "mail")
+
+
 def _line(label: str, value: Column) -> Column:
     return F.concat(F.lit(label), F.coalesce(value, F.lit("")))

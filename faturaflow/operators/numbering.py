@@ -73,16 +73,18 @@ def ranked_within(
 
 
 def assign(
-    screened: DataFrame, first_no: DataFrame, prefix: str, width: int, stage: Stage
+    decisions: DataFrame, first_no: DataFrame, prefix: str, width: int, stage: Stage
 ) -> DataFrame:
     """Adds `document_no` to SENT rows, consecutive from `first_no` by arrival.
 
-    All rows are written, SENT rows first, so the rejects are not computed again. The
+    `decisions` has message_id, received_at and status, and nothing else goes through the range
+    shuffle. All rows are written, SENT rows first, so the decisions are not made again. The
     first number is written with them: a replay must not see a later one.
     """
     not_sent = F.col("status") != "SENT"
     order = [not_sent, F.col("received_at"), F.col("message_id")]
-    out = ranked(screened.withColumn("first_no", first_no.scalar()), order, stage, "numbered")
+    slim = decisions.select("message_id", "received_at", "status", first_no.scalar().alias("first_no"))
+    out = ranked(slim, order, stage, "decided")
     number = F.col("rank") + F.col("first_no")
     return out.withColumn(
         "document_no", F.when(~not_sent, document_no(number, prefix, width))

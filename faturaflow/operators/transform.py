@@ -45,8 +45,8 @@ def has_group() -> Column:
     return F.exists("bands", lambda b: b["posting_group"].isNotNull())
 
 
-def screen(df: DataFrame, known: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Duplicate, date and posting-group gates; rows that pass all get SENT.
+def decisions(df: DataFrame, known: DataFrame, cfg: JobConfig) -> DataFrame:
+    """(message_id, received_at, status): duplicate, date and posting-group gates; what passes all is SENT.
 
     As if the messages were handled one after another by (received_at, message_id):
     an invoice is a duplicate if the ERP holds its key or an earlier message of the
@@ -54,15 +54,23 @@ def screen(df: DataFrame, known: DataFrame, cfg: JobConfig) -> DataFrame:
     make a later one a duplicate.
 
     `df` should be a written table: it is read for the batch's keys, for the first
-    sendable message per key, and for the result.
+    sendable message per key, and for the result. Only keys, times and flags are shuffled.
     """
     keys = list(cfg.dup_keys)
-    date_ok = ~has_date_text() | F.col("document_date").isNotNull()
-    sendable = F.col("status").isNull() & F.col("document_date").isNotNull() & has_group()
+    slim = df.select(
+        "message_id",
+        "received_at",
+        "status",
+        *keys,
+        has_date_text().alias("has_date_text"),
+        (~has_date_text() | F.col("document_date").isNotNull()).alias("date_ok"),
+        has_group().alias("has_group"),
+        (F.col("status").isNull() & F.col("document_date").isNotNull() & has_group()).alias("sendable"),
+    )
     arrival = F.struct("received_at", "message_id")
 
-    batch = df.filter(F.col("status").isNull())
-    first_sent = batch.filter(sendable).groupBy(*keys).agg(F.min(arrival).alias("first_sent"))
+    batch = slim.filter(F.col("status").isNull())
+    first_sent = batch.filter("sendable").groupBy(*keys).agg(F.min(arrival).alias("first_sent"))
     held = lookup_join(known, batch.select(*keys).distinct(), keys, "left_semi")
     per_key = (
         held.withColumn("is_known", F.lit(True))
@@ -70,16 +78,27 @@ def screen(df: DataFrame, known: DataFrame, cfg: JobConfig) -> DataFrame:
         .groupBy(*keys)
         .agg(F.bool_or("is_known").alias("is_known"), F.min("first_sent").alias("first_sent"))
     )
-    screened = lookup_join(df, per_key, keys, "left", "message_id")
+    screened = lookup_join(slim, per_key, keys, "left", "message_id")
     out = first_failure(
         screened,
         ("DUPLICATE", F.coalesce("is_known", F.lit(False)) | (F.col("first_sent") < arrival)),
-        ("BAD_DATE", ~date_ok),
-        ("NO_VALID_GROUP", ~has_group()),
-        ("NO_DATE", ~has_date_text()),
+        ("BAD_DATE", ~F.col("date_ok")),
+        ("NO_VALID_GROUP", ~F.col("has_group")),
+        ("NO_DATE", ~F.col("has_date_text")),
         (SENT, F.lit(True)),
     )
-    return out.drop("is_known", "first_sent")
+    return out.select("message_id", "received_at", "status")
+
+
+def decided(df: DataFrame, results: DataFrame) -> DataFrame:
+    """`df` with the columns of `results` in place of its own; both have a row per message id."""
+    own = [c for c in df.columns if c == "message_id" or c not in results.columns]
+    return df.select(*own).join(results, "message_id")
+
+
+def screen(df: DataFrame, known: DataFrame, cfg: JobConfig) -> DataFrame:
+    """`df` with its final status."""
+    return decided(df, decisions(df, known, cfg))
 
 
 def header_records(numbered: DataFrame) -> DataFrame:

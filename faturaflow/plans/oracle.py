@@ -251,6 +251,14 @@ PARTS: dict[str, str] = {
   FROM documents""",
 }
 
+# All notifications land first; then the other answers, without a notification.
+PARTS["answer_ids"] = """
+  SELECT DISTINCT message_id, 1 AS round, false AS again FROM landed
+  UNION ALL
+  SELECT DISTINCT message_id, 2, true FROM landed WHERE TRY_CAST(message_id AS BIGINT) % 4 = 1"""
+for _part in ("gates", "taken", "screened", "numbered"):
+    PARTS[f"answer_{_part}"] = PARTS[f"round_{_part}"].replace("round_", "answer_")
+
 _CALENDAR = "strftime(CAST(ts AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')"
 
 _STATUS_SUBJECT = (
@@ -429,6 +437,10 @@ FROM numbered WHERE status NOT IN ('SENT', 'AWAITING_ACCOUNT')""",
     "message_outcomes": _OUTCOMES,
     "outcome_summary": "SELECT status, count(*) AS n_messages FROM numbered GROUP BY status",
     "stream_outcomes": _OUTCOMES,
+    "maintained_directories": """SELECT vdir.vat, vendor_name, vdir.vendor_no, buy_from_no, n_rows, n_accounts, first_account
+FROM vdir LEFT JOIN accsum ON vdir.vendor_no = accsum.vendor_no WHERE vat IN (SELECT a FROM qr)""",
+    "stream_answers": """SELECT message_id, row_number() OVER (PARTITION BY message_id ORDER BY round) AS turn, received_at, status,
+  document_no, CASE WHEN document_no IS NOT NULL THEN total END AS total FROM answer_numbered""",
     "stream_rounds": """SELECT n.message_id, turn, received_at, status, document_no, n.total,
   CASE WHEN document_no IS NOT NULL THEN buy_from_no END AS buy_from_vendor_no,
   CASE WHEN document_no IS NOT NULL THEN strftime(d, '%Y-%m-%d') END AS document_date,

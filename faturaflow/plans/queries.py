@@ -14,6 +14,7 @@ from faturaflow import fixtures as fx
 from faturaflow.functions import text
 from faturaflow.operators import accounts, joins, numbering, payloads, qr, rejects, tax, transform, vendors
 from faturaflow.plans import invoice_run, record_run
+from faturaflow.sinks.directories import Directories
 from faturaflow.sinks.outbox import Outbox
 from faturaflow.sources import messages, notifications
 from faturaflow.sources.stage import Stage, shared_root
@@ -513,8 +514,8 @@ def run_requests(spark: SparkSession, sf: str) -> DataFrame:
     ids = notifications.distinct_ids(fx.events_of(fx.mailbox_bodies(spark, sf))).select("message_id")
     inp = fx.inputs(spark, sf)
     inp = replace(inp, answers=fx.early_answers(inp.answers))
-    asked = invoice_run.requests(invoice_run.classify(ids, inp, CFG), inp, CFG)
-    return asked.select("message_id", "vendor_no", "model", "max_tokens", "prompt")
+    asked, listings = invoice_run.requests(invoice_run.classify(ids, inp, CFG), inp, CFG)
+    return accounts.prompts(asked, listings).select("message_id", "vendor_no", "model", "max_tokens", "prompt")
 
 
 @query
@@ -587,7 +588,7 @@ def stream_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     intake.start(
         events, lambda s: fx.inputs(s, sf), CFG, f"{root}/out", available_now=True
     ).awaitTermination()
-    return Outbox(spark, f"{root}/out").read("outcomes").select(
+    return Outbox(spark, f"{root}/out", CFG).read("outcomes").select(
         "message_id",
         "received_at",
         "status",
@@ -611,7 +612,69 @@ def _rounds(spark: SparkSession, sf: str) -> Outbox:
         fx.landing_round(bodies, k).select("body").write.mode("append").text(f"{root}/landing")
         events = intake.landing_stream(spark, f"{root}/landing")
         intake.start(events, load, CFG, f"{root}/out", available_now=True).awaitTermination()
-    return Outbox(spark, f"{root}/out")
+    return Outbox(spark, f"{root}/out", CFG)
+
+
+def _directories(spark: SparkSession, sf: str, root: str) -> Directories:
+    """Vendors and posted lines in three changes. The first one also brings a wrong name for every vendor
+    and a wrong line for every line, which the last one takes back."""
+    kept = Directories(spark, root)
+    master, posted = fx.vendors(spark, sf), fx.posted_lines(spark, sf)
+    wrong_names = master.withColumn("name", F.concat(F.lit("A"), "name"))
+    wrong_lines = posted.withColumn("account", F.lit("0"))
+    third = F.pmod(F.xxhash64("vendor_no", "account", "description"), F.lit(3))
+    one, back = F.lit(1).alias("n"), F.lit(-1).alias("n")
+    for k in range(3):
+        lines = posted.filter(third == k).select("*", one)
+        vendors_ = None
+        if k == 0:
+            lines = lines.unionByName(wrong_lines.select("*", one))
+            vendors_ = wrong_names.select("*", one)
+        if k == 2:
+            lines = lines.unionByName(wrong_lines.select("*", back))
+            vendors_ = wrong_names.select("*", back).unionByName(master.select("*", one))
+        kept = kept.apply(k, vendors_, lines)
+    return kept
+
+
+@query
+def maintained_directories(spark: SparkSession, sf: str) -> DataFrame:
+    """Vendor directory and accounts after inserts and deletes, for the tax numbers of all invoices."""
+    kept = _directories(spark, sf, f"{shared_root(spark)}/directories-{uuid.uuid4().hex}")
+    directory = kept.vendors(_parsed(spark, sf).select("issuer_nif").distinct())
+    summary = accounts.summary(kept.accounts(directory.select("vendor_no").distinct()))
+    return joins.lookup_join(directory, summary, ["vendor_no"], "left")
+
+
+@query
+def stream_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers as events: all notifications land first, with three quarters of the answers; then
+    the other answers land, without a notification. Vendors and posted lines come from directories.
+    `turn` is the outcome's place among those of its message."""
+    root = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"
+    kept = _directories(spark, sf, f"{root}/directories")
+    answers = fx.inputs(spark, sf).answers.filter("answer is not null").select("message_id", "answer")
+    early = fx.early_answers(answers)
+
+    def load(s: SparkSession) -> invoice_run.Inputs:
+        return replace(fx.inputs(s, sf), answers=None, vendors=None, posted_lines=None, directories=kept)
+
+    for landed in (early, joins.lookup_join(answers, early.select("message_id"), ["message_id"], "left_anti")):
+        landed.write.mode("append").json(f"{root}/answers")
+        if landed is early:
+            fx.mailbox_bodies(spark, sf).select("body").write.text(f"{root}/landing")
+        intake.start(
+            intake.landing_stream(spark, f"{root}/landing"),
+            load,
+            CFG,
+            f"{root}/out",
+            available_now=True,
+            answers=intake.answer_stream(spark, f"{root}/answers"),
+        ).awaitTermination()
+    turn = F.row_number().over(W.partitionBy("message_id").orderBy("batch_id")).cast("bigint")
+    return Outbox(spark, f"{root}/out", CFG).read("outcomes").select(
+        "message_id", turn.alias("turn"), "received_at", "status", "document_no", "total"
+    )
 
 
 @query

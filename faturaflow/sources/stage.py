@@ -7,11 +7,14 @@ cluster names in spark.checkpoint.dir.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from faturaflow.sources import files
 
 _local_roots: dict[str, str] = {}
 
@@ -24,20 +27,12 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="faturaflow-")
+        folder = tempfile.mkdtemp(prefix="faturaflow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_roots[context.applicationId] = folder
     return _local_roots[context.applicationId]
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
-    return fs.exists(p)
-
-
 class Stage:
     """Named Parquet tables under one folder, which is that of one run or batch. A table that an
     earlier attempt of the run completed is reused, not recomputed: a replay goes on from it and
@@ -53,11 +48,10 @@ class Stage:
             raise ValueError(f"stage table {name!r} belongs to an earlier run; use a stage of your own")
         self._names.add(name)
         path = f"{self.folder}/{name}"
-        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+        if not files.exists(self.spark, f"{path}/_SUCCESS"):
             df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
         """Remove the folder, once everything that reads its tables is written."""
-        p, fs = _hadoop_path(self.spark, self.folder)
-        fs.delete(p, True)
+        files.delete(self.spark, self.folder)
