@@ -44,3 +44,21 @@ def zero_fill(n: Column, width: int) -> Column:
     sign = F.when(n < 0, F.lit("-")).otherwise(F.lit(""))
     room = F.greatest(F.length(digits), F.lit(width) - F.length(sign))
     return F.concat(sign, F.lpad(digits, room, F.lit("0")))
+
+
+# White space that base64 decoding skips, and the letters of its alphabet.
+_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a"
+    "\u2028\u2029\u205f\u3000"
+)
+_BASE64 = r"\A[A-Za-z0-9+/\p{javaWhitespace}]*={0,2}\z"
+
+
+def is_base64(encoded: Column) -> Column:
+    """Whether a text can be decoded, without decoding it: letters of the alphabet, at most two
+    signs of padding at the end, and a length that they fit. NULL for NULL."""
+    bare = F.translate(encoded, _BLANKS, "")
+    size = F.length(bare)
+    padded = bare.endswith("=")
+    fits = F.when(padded, size % 4 == 0).otherwise(size % 4 != 1)
+    return encoded.rlike(_BASE64) & fits

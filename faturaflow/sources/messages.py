@@ -37,6 +37,12 @@ def attachments(raw: Column) -> Column:
     return F.transform(kept, lambda a: a.dropFields("had_content"))
 
 
+def has_attachments(raw: Column) -> Column:
+    """Whether any attachment is left by attachments(), told without decoding one."""
+    left = F.exists(raw, lambda a: F.coalesce(text.is_base64(text.nonempty(a["contentBytes"])), F.lit(True)))
+    return F.coalesce(left, F.lit(False))
+
+
 def parse(messages: DataFrame) -> DataFrame:
     """Flat message columns. `readable` is false where id, sender, subject or body is missing;
     such a message counts as not found.
@@ -54,6 +60,7 @@ def parse(messages: DataFrame) -> DataFrame:
         F.coalesce("receivedDateTime", F.lit("")).alias("received_at"),
         F.coalesce("isDraft", F.lit(False)).alias("is_draft"),
         attachments(F.col("attachments")).alias("attachments"),
+        has_attachments(F.col("attachments")).alias("has_attachments"),
     )
     return m.select(
         "message_id",
@@ -65,7 +72,7 @@ def parse(messages: DataFrame) -> DataFrame:
         "received_at",
         "is_draft",
         "attachments",
-        (F.size("attachments") > 0).alias("has_attachments"),
+        "has_attachments",
         (
             F.col("_has_id")
             & F.col("_sender").isNotNull()

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from faturaflow import schemas
 from faturaflow.functions import numbers, qr, text
+from faturaflow.sources import messages
 
 
 def one(spark, value, expr, type_="string"):
@@ -127,3 +130,32 @@ def test_qr_acceptance(spark):
     assert one(spark, "A*B*C*D*E*F", qr.is_payload) is False
     assert one(spark, "", qr.is_payload) is False
     assert one(spark, None, qr.is_payload) is False
+
+
+def test_base64_is_told_without_decoding(spark):
+    """Equal to what the decoder accepts, on random good and bad texts and on long ones."""
+    rng = random.Random(1)
+    signs = "AA/+9z==  \n\r\t\x0b\x0c\x1c\x1f\x00\x85\xa0 é-_."
+    texts = {"".join(rng.choices(signs, [8, 8, 1, 1, 1, 1, 6, 6] + [1] * 9 + [0.2] * 8, k=rng.randint(0, 12))) for _ in range(20_000)}
+    texts |= {"".join(rng.choices("AA= \n", [8, 8, 4, 4, 1], k=rng.randint(0, 12))) for _ in range(20_000)}
+    texts |= {f"QU{chr(c)}JD" for c in range(0x3100) if not 0xD800 <= c < 0xE000}
+    texts |= {"QUJD" * 300_000 + end for end in ("", "QQ==", "QQ=", "Q", "!", "=", " \n", "QUI= ")}
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "x string")
+    both = df.select("x", F.try_to_binary("x", F.lit("base64")).isNotNull().alias("decoded"), text.is_base64(F.col("x")).alias("told"))
+    wrong = both.filter("x is not null and decoded <> told").limit(5).collect()
+    assert not wrong, [(repr(r.x[:40]), r.decoded, r.told) for r in wrong]
+    assert both.filter("x is null").first().told is None and both.filter("told").count() > 1000
+
+
+def test_the_flag_needs_no_decoding(spark):
+    raw = [None, [], [(None, None, None, "!!", 5)], [(None, None, None, "QUI=", 5)], [(None, None, None, "", 0)], [(None, None, None, None, 0)]]
+    df = spark.createDataFrame([(str(i), a) for i, a in enumerate(raw)], schemas.MESSAGE["attachments"].dataType.simpleString().join(["id string, attachments ", ""]))
+    full = df
+    for f in schemas.MESSAGE.fields:
+        if f.name not in df.columns:
+            full = full.withColumn(f.name, F.lit(None).cast(f.dataType))
+    parsed = messages.parse(full)
+    flags = {r.message_id: (r.has_attachments, len(r.attachments) > 0) for r in parsed.collect()}
+    assert flags == {k: (v, v) for k, v in zip("012345", [False, False, False, True, True, True])}
+    plan = parsed.select("message_id", "has_attachments")._jdf.queryExecution().executedPlan().toString()
+    assert "binary" not in plan.lower().split("readschema")[0]
