@@ -437,6 +437,11 @@ FROM numbered WHERE status NOT IN ('SENT', 'AWAITING_ACCOUNT')""",
     "message_outcomes": _OUTCOMES,
     "outcome_summary": "SELECT status, count(*) AS n_messages FROM numbered GROUP BY status",
     "stream_outcomes": _OUTCOMES,
+    "swept_notifications": """SELECT CAST(user_id AS VARCHAR) AS message_id, count(*) AS n_events
+FROM events WHERE event_type <> 'error' GROUP BY user_id""",
+    "exported_messages": """SELECT message_id, subject, received_at, has_attachments FROM mail
+WHERE message_id IN (SELECT message_id FROM landed) AND CAST(message_id AS BIGINT) % 7 = 0""",
+    "erp_key_ranges": """SELECT vendor_no, count(*) AS n_lines, CAST(1 AS BIGINT) AS n_ranges FROM posted GROUP BY vendor_no""",
     "maintained_directories": """SELECT vdir.vat, vendor_name, vdir.vendor_no, buy_from_no, n_rows, n_accounts, first_account
 FROM vdir LEFT JOIN accsum ON vdir.vendor_no = accsum.vendor_no WHERE vat IN (SELECT a FROM qr)""",
     "stream_answers": """SELECT message_id, row_number() OVER (PARTITION BY message_id ORDER BY round) AS turn, received_at, status,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from faturaflow.operators import accounts, joins, numbering, payloads, qr, rejec
 from faturaflow.plans import invoice_run, record_run
 from faturaflow.sinks.directories import Directories
 from faturaflow.sinks.outbox import Outbox
-from faturaflow.sources import messages, notifications
+from faturaflow.sources import export, messages, notifications, tables
+from faturaflow.sources.landing import LandingLog
 from faturaflow.sources.stage import Stage, shared_root
 from faturaflow.streaming import intake
 
@@ -615,6 +617,49 @@ def _rounds(spark: SparkSession, sf: str) -> Outbox:
     return Outbox(spark, f"{root}/out", CFG)
 
 
+@query
+def swept_notifications(spark: SparkSession, sf: str) -> DataFrame:
+    """The landing log: notifications land as files in two rounds, are swept into segments and read as a
+    stream; arrivals per message id."""
+    root = f"{shared_root(spark)}/landing-{uuid.uuid4().hex}"
+    log = LandingLog(spark, f"{root}/landing", f"{root}/log", most=5)
+    early = F.dayofyear("ts") % 2 == 0
+    ids = f"{root}/ids"
+    for part in (early, ~early):
+        bodies = fx.event_bodies(spark, sf).filter(part).select("body")
+        bodies.write.mode("append").text(f"{root}/landing")
+        log.drain()
+        writer = intake.swept_stream(log).select("message_id").writeStream.trigger(availableNow=True)
+        writer.option("checkpointLocation", f"{root}/checkpoint").format("parquet").start(ids).awaitTermination()
+    return spark.read.schema("message_id string").parquet(ids).groupBy("message_id").agg(
+        F.count(F.lit(1)).alias("n_events")
+    )
+
+
+@query
+def exported_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """A message export by buckets, and what a batch of ids reads of it: every seventh notified id."""
+    mail = fx.parsed_mail(fx.mail_json(spark, sf)).select("message_id", "subject", "received_at", "has_attachments")
+    path = f"{shared_root(spark)}/export-{uuid.uuid4().hex}"
+    export.write(mail, path, buckets=16)
+    notified = notifications.distinct_ids(fx.events_of(fx.mailbox_bodies(spark, sf)))
+    batch = notified.select("message_id").filter(F.col("message_id").try_cast("bigint") % 7 == 0)
+    return export.of_ids(export.read(spark, path, mail.schema), batch, buckets=16)
+
+
+@query
+def erp_key_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Posted lines read by ranges of a text key, cut from a sample: rows and keys of every vendor's first
+    letters, the same whatever the cuts."""
+    posted = fx.posted_lines(spark, sf)
+    parts = tables.key_ranges(posted, "vendor_no", tables.key_bounds(posted, "vendor_no", 8))
+    whole = reduce(DataFrame.unionByName, (p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)))
+    per_vendor = whole.groupBy("vendor_no").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_distinct("part").alias("n_ranges")
+    )
+    return per_vendor
+
+
 def _directories(spark: SparkSession, sf: str, root: str) -> Directories:
     """Vendors and posted lines in three changes. The first one also brings a wrong name for every vendor
     and a wrong line for every line, which the last one takes back."""

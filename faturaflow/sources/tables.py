@@ -51,6 +51,33 @@ def read_jdbc(spark: SparkSession, table: str, options: Mapping[str, str]) -> Da
     return narrow(spark.read.format("jdbc").options(**options).load(), table)
 
 
+#: Sampled keys per range: a range then holds within about a third of its share of the rows.
+SAMPLED = 64
+
+
+def key_bounds(df: DataFrame, column: str, ranges: int, sampled: int = SAMPLED) -> list[str]:
+    """Keys that cut a table into at most `ranges` of about equal rows, in Spark's order of texts.
+
+    Keys of rows drawn at random, `sampled` for each range: every task keeps its own and sends no
+    more, and so many reach the driver. A key that makes up more than a range's share is in a range
+    of its own with the keys up to the next bound; a range is never split within a key.
+    """
+    k = ranges * sampled
+    drawn = df.select(F.col(column).cast("string").alias("key"), F.rand(7).alias("place")).dropna()
+    keys = sorted(r["key"] for r in drawn.orderBy("place").limit(k).collect())
+    cuts = {keys[i * len(keys) // ranges] for i in range(1, ranges)} if keys else set()
+    return sorted(cuts - {keys[0]} if keys else cuts)
+
+
+def key_ranges(df: DataFrame, column: str, bounds: Sequence[str]) -> list[DataFrame]:
+    """The table by the ranges of key_predicates, for a source that Spark reads itself."""
+    key = F.col(column).cast("string")
+    if not bounds:
+        return [df]
+    between = [(key >= a) & (key < b) for a, b in zip(bounds, bounds[1:])]
+    return [df.filter(p) for p in [(key < bounds[0]) | key.isNull(), *between, key >= bounds[-1]]]
+
+
 def key_predicates(column: str, bounds: Sequence[str]) -> list[str]:
     """Conditions that put every row of a table into one partition, by ranges of a text key.
 

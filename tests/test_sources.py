@@ -2,12 +2,18 @@ from __future__ import annotations
 
 import base64
 import json
+import os
+from dataclasses import replace
 
 import pytest
+from mailbox import CFG, Mailbox
 from pyspark.sql import functions as F
 
 from faturaflow import schemas
-from faturaflow.sources import messages, notifications, stage, tables
+from faturaflow.sinks.outbox import Outbox
+from faturaflow.sources import export, files, messages, notifications, stage, tables
+from faturaflow.sources.landing import LandingLog
+from faturaflow.streaming import intake
 
 
 def mail(spark, *docs):
@@ -173,3 +179,129 @@ def test_landing_files(spark, tmp_path):
     assert messages.parse(messages.read_landing(spark, str(tmp_path / "m.json"))).first().message_id == "m1"
     landed = notifications.read_landing(spark, str(tmp_path / "n"))
     assert notifications.message_ids(landed, ts=None).first().message_id == "b"
+
+
+# ------------------------------------------------------------------ landing log
+
+
+def land_lines(folder, name, *ids, changed=None):
+    folder.mkdir(exist_ok=True)
+    path = folder / name
+    path.write_text("\n".join(json.dumps({"value": [{"resource": f"users/mb/messages/{i}"}]}) for i in ids))
+    if changed is not None:
+        os.utime(path, (changed, changed))
+
+
+def swept_ids(spark, log, checkpoint):
+    seen = []
+    writer = intake.swept_stream(log).writeStream.option("checkpointLocation", str(checkpoint))
+    query = writer.trigger(availableNow=True).foreachBatch(lambda df, _: seen.extend(r.message_id for r in df.collect())).start()
+    query.awaitTermination()
+    assert query.exception() is None
+    return sorted(seen)
+
+
+def test_landing_log_reads_every_file_once(spark, tmp_path):
+    """Files of any age, in sweeps of two; nothing stays in the folder, no line comes twice."""
+    log = LandingLog(spark, str(tmp_path / "landing"), str(tmp_path / "log"), most=2)
+    assert log.drain() == 0 and swept_ids(spark, log, tmp_path / "cp") == []
+    for k in range(5):
+        land_lines(tmp_path / "landing", f"n{k}.json", f"a{k}", f"b{k}", changed=1_000_000_000 - 10_000 * k)
+    land_lines(tmp_path / "landing", "_part", "unfinished")
+    assert log.drain() == 5
+    assert swept_ids(spark, log, tmp_path / "cp") == sorted(f"{x}{k}" for k in range(5) for x in "ab")
+    land_lines(tmp_path / "landing", "n0.json", "again", changed=1)  # an old file, under a name that was there before
+    assert log.drain() == 1 and swept_ids(spark, log, tmp_path / "cp") == ["again"]
+    assert [f for f in os.listdir(tmp_path / "landing") if not f.startswith(".")] == ["_part"]
+    assert len(json.loads((tmp_path / "log" / "intent.json").read_text())["files"]) <= 2
+
+
+@pytest.mark.parametrize("where", ["text", "delete"])
+def test_a_sweep_that_was_cut_short_is_finished(spark, tmp_path, monkeypatch, where):
+    log = LandingLog(spark, str(tmp_path / "landing"), str(tmp_path / "log"))
+    land_lines(tmp_path / "landing", "n0.json", "x")
+    land_lines(tmp_path / "landing", "n1.json", "y")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        if where == "delete":
+            m.setattr(files, "delete", stop)
+        else:
+            m.setattr(type(spark.read), "text", stop)
+        with pytest.raises(RuntimeError):
+            log.sweep()
+    land_lines(tmp_path / "landing", "n2.json", "z")
+    log.drain()
+    assert swept_ids(spark, log, tmp_path / "cp") == ["x", "y", "z"]
+
+
+# ------------------------------------------------------------------ exports by id
+
+
+def scan_metrics(df, *names):
+    """Of the one scan of a query that has run."""
+    # Of an adaptive plan: its result stage, and in that the plan that ran.
+    leaves = df._jdf.queryExecution().executedPlan().executedPlan().plan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if leaves.apply(i).nodeName().strip() == "Scan parquet"]
+    assert len(scans) == 1
+    return {n: scans[0].metrics().apply(n).value() for n in names}
+
+
+def test_a_batch_reads_the_buckets_of_its_ids(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("concat('m', id) AS message_id", "id AS v")
+    # A third of all rows has one id.
+    hot = spark.range(2000).selectExpr("'hot' AS message_id", "id AS v")
+    export.write(rows.unionByName(hot), str(tmp_path / "out"), buckets=32)
+    kept = export.read(spark, str(tmp_path / "out"), rows.schema)
+    spark.createDataFrame([("m7",)], "message_id string").write.parquet(str(tmp_path / "ids"))
+    one = spark.read.parquet(str(tmp_path / "ids"))  # as a batch's ids are
+    found = export.of_ids(kept, one, buckets=32)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("m7", 7)]
+    read = scan_metrics(found, "numFiles", "numPartitions", "numOutputRows")
+    assert 1 <= read["numFiles"] <= 2 and read["numOutputRows"] < 600, read
+    assert kept.select(export.BUCKET).distinct().count() == 32
+    many = spark.range(0, 4000, 2).selectExpr("concat('m', id) AS message_id").union(spark.createDataFrame([("hot",), ("none",)]))
+    assert export.of_ids(kept, many, buckets=32).count() == 4000
+    assert export.of_ids(rows, one).count() == 1, "a plain table"
+
+
+def test_a_run_over_exports_gives_the_same(spark, tmp_path):
+    """Messages, decoder texts and answers from exports, in two batches."""
+    box = Mailbox(15, size=80)
+
+    def load(s):
+        inp = box.inputs(s)
+        return replace(inp, **{t: export.read(s, f"{tmp_path}/{t}", getattr(inp, t).schema) for t in parts})
+
+    parts = ("messages", "candidates", "answers")
+    for t in parts:
+        export.write(getattr(box.inputs(spark), t), f"{tmp_path}/{t}")
+    half = F.pmod(F.xxhash64("message_id"), F.lit(2)) == 0
+    for k, some in enumerate((half, ~half)):
+        intake.process_batch(spark, box.events(spark).filter(some), k, load, CFG, f"{tmp_path}/out")
+    done = {r.message_id: r.status for r in Outbox(spark, f"{tmp_path}/out", CFG).read("outcomes").collect()}
+    gates = {m: s for m, (s, _) in box.expected().items() if s not in ("SENT", "DUPLICATE")}
+    assert {m: done[m] for m in gates} == gates and set(done) == set(box.notified)
+
+
+# ------------------------------------------------------------------ key ranges
+
+
+def test_key_ranges_are_disjoint_complete_and_even(spark):
+    """A third of the rows has one key, some have none; ranges hold their share but for that key's."""
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, "k00500").when(F.col("id") % 100 == 1, None).otherwise(F.format_string("k%05d", F.col("id") % 997))
+    df = spark.range(0, n, 1, 6).select("id", key.alias("key")).cache()
+    bounds = tables.key_bounds(df, "key", 10)
+    assert bounds == sorted(set(bounds)) and 6 <= len(bounds) <= 9
+    parts = [p.select("id", "key").collect() for p in tables.key_ranges(df, "key", bounds)]
+    assert sorted(r.id for p in parts for r in p) == list(range(n))
+    nulls = sum(r.key is None for r in parts[0])
+    sizes = [sum(r.key not in (None, "k00500") for r in p) for p in parts]
+    assert nulls == df.filter("key is null").count() and max(sizes) < 1.5 * n / 10
+    assert [p.replace('"key"', "key") for p in tables.key_predicates("key", bounds)][-1] == f"key >= '{bounds[-1]}'"
+    assert tables.key_bounds(df.limit(0), "key", 10) == [] and len(tables.key_ranges(df, "key", [])) == 1
+    df.unpersist()
