@@ -36,6 +36,8 @@ from faturaflow.sources.stage import shared_root
 LEAST_REVISIT = 1000
 #: Captures of a block, and payload bytes after which a task starts the next file.
 BLOCK, FILE_BYTES = 512, 256 << 20
+#: Bytes of records that a task reads back.
+READ_BYTES = 8 << 20
 _TAIL, _TAIL_BYTES = "<QQ", 16
 _CAPTURE = "file string, at long, size long"
 
@@ -64,7 +66,8 @@ def _uri(root: str) -> str:
 
 
 def revisits(pages: DataFrame) -> DataFrame:
-    """(page_id, digest, refers_to) of pages whose payload a page with a larger page_id has too.
+    """(page_id, digest, refers_to) of pages whose payload a page with a larger page_id has too. A null
+    page_id is below all others.
 
     Only digests and ids are shuffled, a hot payload reduced in every task.
     """
@@ -75,13 +78,15 @@ def revisits(pages: DataFrame) -> DataFrame:
         F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")
     )
     found = hot_lookup(rows, groups.filter("n > 1"), "digest", "n", pages.count(), "page_id")
-    return found.filter("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
+    other = (F.col("page_id") < F.col("refers_to")) | (F.col("page_id").isNull() & F.col("refers_to").isNotNull())
+    return found.filter(other).select("page_id", "digest", "refers_to").distinct()
 
 
 def records(pages: DataFrame) -> DataFrame:
     """Pages (page_id, url, html) with digest, payload_bytes, record_type and refers_to.
 
-    Rows with one page_id and equal payloads: the first is the response, the others revisit it.
+    Rows with one page_id and equal payloads: the first is the response, the others revisit it. So it is
+    with rows that all have a null page_id: their revisits refer to null.
     """
     body = F.coalesce("html", F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long"), "url", body.alias("payload"))
@@ -90,15 +95,16 @@ def records(pages: DataFrame) -> DataFrame:
     )
     known = revisits(rows)
     # All rows of a page meet; its page_id tells it from others.
-    joined = rows.join(known, ["page_id", "digest"], "left")
+    known = known.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "refers_to")
+    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    joined = rows.join(known, same, "left").drop("_id", "_digest")
     nth = F.row_number().over(W.partitionBy("page_id", "digest").orderBy("url"))
     again = (F.col("payload_bytes") >= LEAST_REVISIT) & (F.col("nth") > 1)
     refers = F.coalesce("refers_to", F.when(again, F.col("page_id")))
-    joined = joined.withColumn("nth", nth).withColumn("refers_to", refers)
-    kind = F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")
-    joined = joined.withColumn("record_type", kind)
+    kind = F.when(F.col("refers_to").isNotNull() | again, "revisit").otherwise("response")
+    joined = joined.withColumn("nth", nth).withColumn("record_type", kind).withColumn("refers_to", refers)
     # A revisit record has no payload.
-    payload = F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b""))
+    payload = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return joined.withColumn("payload", payload)
 
 
@@ -111,7 +117,7 @@ def record_bytes(row: dict) -> bytes:
         "WARC-Target-URI": json.dumps(row["url"])[1:-1] if row["url"] is not None else None,
         "WARC-Payload-Digest": f"sha1:{row['digest']}",
         "WARC-Payload-Length": row["payload_bytes"],
-        "WARC-Refers-To": f"<urn:page:{row['refers_to']}:1>" if row["refers_to"] is not None else None,
+        "WARC-Refers-To": f"<urn:page:{row['refers_to']}:1>" if row["record_type"] == "revisit" else None,
         "Content-Type": "text/html" if row["record_type"] == "response" else None,
         "Content-Length": len(row["payload"]),
     }
@@ -337,7 +343,10 @@ def read_records(captures: DataFrame, root: str) -> DataFrame:
         if source is not None:
             source.close()
 
-    dealt = captures.select("file", "at", "size").repartitionByRange("file", "at")
+    # Captures are a few bytes each: tasks are dealt out by the bytes of the records.
+    places = checkpointed(captures.select("file", "at", "size"))
+    total = places.agg(F.sum("size")).first()[0] or 0
+    dealt = places.repartitionByRange(1 + total // READ_BYTES, "file", "at")
     return dealt.sortWithinPartitions("file", "at").mapInArrow(
         frugal(run),
         "page_id long, record_type string, refers_to long, payload_digest string, "
@@ -370,9 +379,10 @@ def op4_warc(pages: DataFrame) -> DataFrame:
 SQL = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
                   sha1(coalesce(html, '')) AS payload_digest FROM pages),
-r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
+r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top,
+             row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST) AS place FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+       CASE WHEN payload_bytes >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND place > 1 THEN top END AS refers_to
 FROM r
 """

@@ -52,6 +52,17 @@ def test_archive_round_trip(spark, tmp_path):
     assert gzip.decompress(file.read_bytes()).startswith(b"WARC/1.1\r\n")
 
 
+def test_pages_without_an_id(spark):
+    """Null ids come below all others; of rows that all have none, one is the response."""
+    big, other = "x" * 1200, "y" * 1200
+    rows = [(None, "http://a/", big), (None, "http://b/", big), (5, "http://c/", big), (7, "http://d/", big)]
+    rows += [(None, "http://e/", other), (None, None, other), (None, "http://e/", other), (None, "http://f/", "small")]
+    got = sorted(((r.page_id, r.record_type, r.refers_to) for r in warc.op4_warc(spark.createDataFrame(rows, PAGES)).collect()), key=repr)
+    want = [(7, "response", None), (5, "revisit", 7), (None, "revisit", 7), (None, "revisit", 7)]
+    want += [(None, "response", None), (None, "revisit", None), (None, "revisit", None), (None, "response", None)]
+    assert got == sorted(want, key=repr)
+
+
 def test_lookup_by_key(spark, tmp_path):
     df = spark.createDataFrame(pages_in(), PAGES).repartition(4)
     captures = warc.write_warc(df, f"{tmp_path}/data")
