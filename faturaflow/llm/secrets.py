@@ -1,15 +1,18 @@
 """Secret scan: fixed patterns, and character Markov models of random strings and identifiers.
 
-The patterns' own matches are the labelled samples of random strings, and all other runs of
-identifier characters in the corpus those of ordinary identifiers. Both give counts of
-character pairs, over every document. A long run is a secret if its log-likelihood ratio
-per character is high enough.
+The patterns' own matches are the labelled samples of random strings. Samples of ordinary
+identifiers are labelled by their shape: all other runs of the corpus, and what its lower-case words
+become in CONSTANT_CASE, CamelCase and with numbers, as prose has few of these itself. Both
+give counts of character pairs, over every document. A long run is a secret if its log-likelihood
+ratio per character is high enough.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +33,19 @@ LEAST_ASSIGN = 8
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 #: Runs that the models judge: least characters, and least mean log-likelihood ratio (nats).
-RUN, LEAST_RATIO = 20, 1.5
+RUN, LEAST_RATIO = 20, 0.1
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RUN)
 KINDS = ("assign", "access", "hex", "markov")
 
 _N, _PLAIN = len(ALPHABET) + 1, 62
+_UPPER, _LOWER, _DIGIT = slice(1, 27), slice(27, 53), slice(53, 63)
+#: Shapes of identifiers: how often a capital goes on in capitals rather than in small letters, a small letter
+#: is followed by a capital (a word of about eight letters ends) or by a digit, and a digit by a letter.
+CONSTANT, NEXT_WORD, NUMBER, WORD_AFTER = 0.5, 1 / 8, 1 / 25, 1 / 5
+#: Share of words that the corpus says nothing of, and the classes of letters of the model without its first row.
+OTHER_WORDS = 0.5
+_CLASSES = (slice(0, 26), slice(26, 52), slice(52, 62), slice(62, _N - 1))
 _CODE = np.zeros(256, np.int64)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, _N)
 
@@ -122,6 +132,26 @@ def pair_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return random, np.maximum(total - random, 0)
 
 
+def shaped(ordinary: np.ndarray) -> np.ndarray:
+    """Pair counts of ordinary identifiers of every shape, from those of the corpus: as many pairs
+    again are made from its lower-case pairs. Digits follow each other evenly, as in numbers and dates."""
+    table = ordinary.reshape(_N, _N).astype(float)
+    low = table[_LOWER, _LOWER] + 1e-9
+    rows = low.sum(axis=1, keepdims=True)
+    step, weight = low / rows, rows  # P(next | this) within words, and how often each letter comes
+    first = rows / rows.sum()
+    made = np.zeros_like(table)
+    made[_LOWER, _LOWER] = weight * step * (1 - NEXT_WORD - NUMBER)
+    made[_LOWER, _UPPER] = weight * first.T * NEXT_WORD
+    made[_LOWER, _DIGIT] = weight * NUMBER / 10
+    made[_UPPER, _UPPER] = weight * step * CONSTANT * (1 - NUMBER)
+    made[_UPPER, _LOWER] = weight * step * (1 - CONSTANT) * (1 - NUMBER)
+    made[_UPPER, _DIGIT] = weight * NUMBER / 10
+    made[_DIGIT, _DIGIT] = weight.mean() * (1 - WORD_AFTER) / 10
+    made[_DIGIT, _LOWER] = made[_DIGIT, _UPPER] = weight.mean() * first.T * WORD_AFTER / 2
+    return (table + made).ravel()
+
+
 def log_ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     """log P(next | this) of random strings over that of identifiers, for each pair.
 
@@ -132,6 +162,7 @@ def log_ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     out = np.zeros((_N, _N))
     if not random.any():
         return out
+    ordinary = shaped(ordinary)
 
     def model(counts: np.ndarray, base: np.ndarray, weight: float) -> np.ndarray:
         table = counts.reshape(_N, _N)[1:, 1:]
@@ -140,7 +171,13 @@ def log_ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     uniform = np.full(_N - 1, 1 / (_N - 1))
     usual = ordinary.reshape(_N, _N)[1:, 1:].sum(axis=0) + 0.5
     drawn = 0.5 * model(random, uniform, 1.0) + 0.5 * uniform
-    out[1:, 1:] = np.log(drawn) - np.log(model(ordinary, usual / usual.sum(), 1000.0))
+    known = model(ordinary, usual / usual.sum(), 1000.0)
+    # Words that the corpus does not have are ordinary too: letters of a class stand in for each other.
+    any_word = np.zeros_like(known)
+    for one in _CLASSES:
+        for other in _CLASSES:
+            any_word[one, other] = known[one, other].mean()
+    out[1:, 1:] = np.log(drawn) - np.log((1 - OTHER_WORDS) * known + OTHER_WORDS * any_word)
     return out
 
 
@@ -156,8 +193,12 @@ def all_spans(text: str, ratios: np.ndarray, least: float = LEAST_RATIO) -> tupl
     """(base spans, all spans). A long run that no base span touches is judged by the models."""
     base = base_spans(text)
     more = []
+    # By start; `reach` has the last end so far, so a run touches a span if the spans that start before its end reach into it.
+    starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
     for m in LONG_RUN.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, _, e in base) and mean_ratio(m[0], ratios) >= least:
+        before = bisect_left(starts, m.end())
+        touched = before and reach[before - 1] > m.start()
+        if not touched and mean_ratio(m[0], ratios) >= least:
             more.append((m.start(), "markov", m.end()))
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted(base + more, key=lambda x: (x[0], order[x[1]]))

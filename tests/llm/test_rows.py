@@ -265,6 +265,36 @@ def test_secret_models_count_no_pair_over_two_texts(spark, docs):
     assert (one[0] == many[0]).all() and (one[1] == many[1]).all()
 
 
+ORDINARY = (
+    "MAX_BUFFER_SIZE_DEFAULT_VALUE XMLHttpRequestUploadHTTP2Proxy getElementsByClassNameAndTag "
+    "DEFAULT_CONNECTION_TIMEOUT_MS AbstractSingletonProxyFactoryBean order_20240315_0000123456 "
+    "20240101123000000000001 AAAAAAAAAAAAAAAAAAAAAAAA 2024-01-01T00-00-00-000000 backup_20240315_123000_full_db "
+    "test_user_can_login_with_valid_password com-example-project-module-service EXPERIMENTAL_FEATURE_FLAG_ENABLED"
+).split()
+
+
+def test_secret_models_on_samples_they_have_not_seen(spark):
+    """Learned from the documents of one half of the ids; random strings and identifiers that none of them holds."""
+    import random
+
+    rng = random.Random(9)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 2 = 0")
+    ratios = secrets.log_ratios(*secrets.pair_counts(docs))
+    assert max(secrets.mean_ratio(x, ratios) for x in ORDINARY) < secrets.LEAST_RATIO
+    drawn = ["".join(rng.choices(secrets.ALPHABET[:62], k=rng.randint(20, 48))) for _ in range(2000)]
+    assert sum(secrets.mean_ratio(x, ratios) < secrets.LEAST_RATIO for x in drawn) < 100
+
+
+def test_a_long_text_of_keys_takes_seconds():
+    import time
+
+    text = " ".join(f"{i:040x} q7Zp0XvR2mKfT9wLbN4sJ1hYcD8e{i}" for i in range(40_000))
+    ratios = np.full((secrets._N, secrets._N), 1.0)
+    start = time.perf_counter()
+    base, spans = secrets.all_spans(text, ratios)
+    assert len(base) == 40_000 and len(spans) == 80_000 and time.perf_counter() - start < 20
+
+
 # toxicity
 
 
