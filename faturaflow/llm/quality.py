@@ -16,10 +16,25 @@ from faturaflow.llm.common import SPACES, own_names, small_or_shuffled, words
 SYMBOLS, LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = "#*$%&|<>", 20, 8, 30
 #: Hash buckets of the multinomials, and the least mean log ratio (nats per n-gram).
 BUCKETS, LEAST_SCORE = 1 << 14, -0.12
+SURFACE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def _settled(rows: DataFrame, kept: list[str], new: list[str]) -> DataFrame:
+    """`kept` columns and the computed ones `new`, which come out of a generator: filters and
+    projections on them stay above it, so that no later step computes them once more."""
+    held = [f"_s{i}" for i in range(len(new))]
+    struct = F.struct(*[F.col(c).alias(h) for c, h in zip(new, held)])
+    out = rows.select(*kept, F.inline(F.array(struct)))
+    return out.select(*kept, *[F.col(h).alias(c) for c, h in zip(new, held)])
 
 
 def surface(docs: DataFrame) -> DataFrame:
-    """Adds _words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    return _settled(_measured(docs), [c for c in docs.columns if c not in SURFACE], SURFACE)
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """With the columns of SURFACE, and _words."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumn("_words", words(F.col("text")))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
@@ -76,19 +91,18 @@ def surface(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED
     )
-    rows = rows.withColumn("base_failed", failed)
-    return rows.drop("_lines", "_h", "_runs", "_sorted", "_repeats")
+    return rows.withColumn("base_failed", failed)
 
 
-def _buckets(word: str) -> Column:
-    """Bucket of every 1-gram and 2-gram of a column with an array of words."""
+def _buckets(word: Column) -> Column:
+    """Bucket of every 1-gram and 2-gram of an array of words."""
     bucket = lambda *w: F.pmod(F.xxhash64(*w), F.lit(BUCKETS)).cast("int")
     pairs = F.zip_with(
-        F.col(word),
+        word,
         F.slice(word, F.lit(2), F.greatest(F.size(word), F.lit(1))),
         lambda a, b: F.when(b.isNotNull(), bucket(a, b)),
     )
-    return F.concat(F.transform(F.col(word), lambda w: bucket(w)), F.array_compact(pairs))
+    return F.concat(F.transform(word, lambda w: bucket(w)), F.array_compact(pairs))
 
 
 def log_ratios(docs: DataFrame, good: DataFrame) -> list[float]:
@@ -102,7 +116,7 @@ def log_ratios(docs: DataFrame, good: DataFrame) -> list[float]:
     )
     lowered = flagged.select("_good", words(F.lower("text")).alias("_words"))
     grams = lowered.select(
-        F.col("_good").isNotNull().alias("target"), F.explode(_buckets("_words")).alias("bucket")
+        F.col("_good").isNotNull().alias("target"), F.explode(_buckets(F.col("_words"))).alias("bucket")
     )
     counts = grams.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target")
@@ -134,18 +148,13 @@ def quality(docs: DataFrame, good: DataFrame, least: float = LEAST_SCORE) -> Dat
     """
     table = ",".join(f"{x:.9g}" for x in log_ratios(docs, good))
     ratios = F.split(F.lit(table), ",").cast("array<double>")
-    new = (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "score", "kept",
-    )
-    mine = [c for c in docs.columns if c not in new]
-    rows = surface(docs.select(*mine))
-    rows = rows.withColumn("_lower", words(F.lower("text"))).withColumn("_grams", _buckets("_lower"))
+    mine = [c for c in docs.columns if c not in (*SURFACE, "score", "kept")]
+    rows = _measured(docs.select(*mine))
+    rows = rows.withColumn("_lower", words(F.lower("text"))).withColumn("_grams", _buckets(F.col("_lower")))
     total = F.aggregate("_grams", F.lit(0.0), lambda a, b: a + F.get(ratios, b))
     score = F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(0.0)
-    rows = rows.withColumn("score", score)
-    kept = ~F.col("base_failed") & (F.col("score") >= least)
-    return rows.withColumn("kept", kept).select(*mine, *new)
+    rows = _settled(rows.withColumn("score", score), mine, [*SURFACE, "score"])
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least))
 
 
 def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

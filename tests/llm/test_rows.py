@@ -70,6 +70,19 @@ def test_quality_score(spark, no_docs):
     assert {r.score for r in none} == {0.0}
 
 
+def test_quality_can_be_filtered(spark):
+    """A filter on a result does not repeat the chain that computed it."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    good = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1").select("doc_id")
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    whole = quality.quality(docs, good)
+    assert size(whole.filter("kept and n_words > 30")) < 1.2 * size(whole)
+    want = sum(r.kept for r in whole.select("kept").collect())
+    assert whole.filter("kept").count() == want > 0
+    repeated = quality.surface(docs).filter("n_repeat_words > 3")
+    assert repeated.count() == whole.filter("n_repeat_words > 3").count() > 0
+
+
 def test_quality_is_native(docs, spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     plan = quality.op2_quality(docs, labels)._jdf.queryExecution().executedPlan().toString()
