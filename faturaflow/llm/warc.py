@@ -95,17 +95,18 @@ def records(pages: DataFrame) -> DataFrame:
     )
     known = revisits(rows)
     # All rows of a page meet; its page_id tells it from others.
-    known = known.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "refers_to")
-    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    joined = rows.join(known, same, "left").drop("_id", "_digest")
-    nth = F.row_number().over(W.partitionBy("page_id", "digest").orderBy("url"))
+    # Keys without nulls, so that the join and the numbering need one shuffle between them.
+    key = {"_id": F.coalesce("page_id", F.lit(0)), "_none": F.col("page_id").isNull()}
+    known = known.withColumns(key).drop("page_id")
+    joined = rows.withColumns(key).join(known, ["_id", "_none", "digest"], "left")
+    nth = F.row_number().over(W.partitionBy("_id", "_none", "digest").orderBy("url"))
     again = (F.col("payload_bytes") >= LEAST_REVISIT) & (F.col("nth") > 1)
     refers = F.coalesce("refers_to", F.when(again, F.col("page_id")))
     kind = F.when(F.col("refers_to").isNotNull() | again, "revisit").otherwise("response")
     joined = joined.withColumn("nth", nth).withColumn("record_type", kind).withColumn("refers_to", refers)
     # A revisit record has no payload.
     payload = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return joined.withColumn("payload", payload)
+    return joined.withColumn("payload", payload).drop("_id", "_none")
 
 
 def record_bytes(row: dict) -> bytes:
