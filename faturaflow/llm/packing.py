@@ -1,9 +1,9 @@
-"""Packing of token sequences: bounded-space best-fit decreasing, in rounds.
+"""Packing of token sequences: bounded-space online best-fit.
 
-Every task packs its share of the pieces on its own, in ROUNDS rounds fixed by a hash, the
-longest pieces of a round first. A fixed number of bins is open, over all rounds. A bitset over free space says which bins there are, so the best fit, the
-least free space that is enough, is one shift and one lowest bit away. When there are too many
-open bins, the fullest one closes first.
+Every task packs its share of the pieces on its own, each piece as it comes, in an order fixed
+by a hash. A fixed number of bins is open. A bitset over free space says which bins there are, so
+the best fit, the least free space that is enough, is one shift and one lowest bit away. When
+there are too many open bins, the fullest one closes first.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ from faturaflow.llm.common import text_hash
 
 #: The contract: tokens of a sequence, the id after each document, and the vocabulary.
 LENGTH, END, VOCABULARY = 1024, 2, "byte_bpe_50k"
-#: Open bins of a task, documents whose pieces a task packs on average, and the rounds in which
-#: they come. A round starts with its longest pieces, and fills fewer bins than are open.
-OPEN_BINS, PER_TASK, ROUNDS = 4096, 50_000, 16
+#: Open bins of a task, and documents whose pieces a task packs on average.
+OPEN_BINS, PER_TASK = 4096, 50_000
 #: A text with this string has a special token, which only the tokenizer file knows.
 _SPECIAL = "<|endoftext|>"
 
@@ -160,7 +159,7 @@ def best_fit(
             yield pa.RecordBatch.from_arrays(cols, [f.name for f in schema])
 
     by = F.xxhash64("doc_id", "_th", "piece")
-    order = [F.pmod("_by", F.lit(ROUNDS)), F.desc("length"), "_by", "doc_id", "_th", "piece"]
+    order = ["_by", "doc_id", "_th", "piece"]
     dealt = rows.withColumn("_by", by).repartition(tasks, "_by").sortWithinPartitions(*order)
     return dealt.drop("_by").mapInArrow(frugal(run), schema)
 

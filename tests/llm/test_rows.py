@@ -202,6 +202,20 @@ def test_open_bins_are_bounded_and_the_fullest_closes():
         assert bins.open == sum(map(len, bins.by_free)) <= 64
 
 
+def test_pieces_are_packed_in_the_order_of_their_hash(spark):
+    """One task: the sequences are those of one pass over the pieces by hash, with bins that close."""
+    rng = np.random.default_rng(4)
+    rows = [(i, i * 7, 0, int(n)) for i, n in enumerate(rng.integers(1, 1025, 2000))]
+    df = spark.createDataFrame(rows, "doc_id long, _th long, piece int, length long").repartition(5)
+    by = df.selectExpr("xxhash64(doc_id, _th, piece) AS h", "doc_id", "length").collect()
+    bins, want, closed = packing.Bins(1024, 32, 0), {}, 0
+    for r in sorted(by):
+        want[r.doc_id] = bins.put(r.length)
+        closed += bins.open == 32
+    got = {r.doc_id: (r.sequence_id, r.offset) for r in packing.best_fit(df, 1, open_bins=32).collect()}
+    assert got == want and closed > 1000
+
+
 # secrets
 
 
