@@ -1,15 +1,17 @@
-"""SimHash near-duplicates through an inverted index on choices of byte positions.
+"""SimHash near-duplicates through an inverted index on byte positions, with count filtering.
 
 Two fingerprints of 64 bits that differ in at most d bits differ in at most d of their 8
-bytes, so they share at least 8 - d positional bytes: the minimum that a count filter would
-ask for. An index on single bytes would hold lists of a 256th of all fingerprints, and their
-pairs grow with the square of the input. The postings here are keyed by every choice of
-8 - d byte positions instead: fingerprints under one key have already reached the minimum,
-and those that share no key can not. Under one key only d bytes are left to differ, so a
-list has at most 256**d fingerprints. So these keys replace the count filter: the tally of
-shared bytes reaches the minimum for every pair of a list and decides nothing, and longer
-lists skip it. Pairs are verified by their bits, and a list gives a spanning forest of
-its links, never all pairs of a group.
+bytes, so they share at least 8 - d positional bytes: the minimum of the count filter. Lists of
+single bytes would hold a 256th of all fingerprints, and their pairs grow with the square of
+the input. The postings are therefore keyed by every choice of 4 among the first d + 4 byte
+positions, of which at least 4 agree in every link. Under a key the shared positional bytes of
+each pair are tallied, pairs that reach the minimum are retained, and their bits are verified.
+
+A list of more than LIST fingerprints is keyed once more, by every choice of 8 - d positions
+that holds its own 4. Its pairs have reached the minimum then, and only d bytes are left
+to differ, so such a list has at most 256**d fingerprints. Keys that hold much of the whole
+input are seen in a sample and go there at once. Every list gives a spanning forest of its
+links, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -30,8 +32,11 @@ from faturaflow.operators.joins import lookup_join
 
 #: The contract: 3-word shingles, XXH64 seed, and bits that may differ.
 SHINGLE, SEED, BITS = 3, 42, 2
-#: Lists up to this length are compared pair by pair; longer ones probe every mask of a link.
-SHORT_LIST = 64
+#: Byte positions of a key, and fingerprints of a list whose pairs are tallied.
+KEY_BYTES, LIST = 4, 1024
+#: One fingerprint in SAMPLED is looked at for keys that hold over a HOT_SHARE-th of them, so these
+#: are at most HOT_SHARE times the number of choices (15 for 2 bits), whatever the input.
+SAMPLED, HOT_SHARE = 64, 5000
 
 
 def _shingle_hashes(text: str, shingle: int, seed: int) -> np.ndarray:
@@ -76,86 +81,147 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
     return rows.mapInArrow(frugal(run), "doc_id long, _th long, fp long")
 
 
-def _forest(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (at most `bits` apart) between sorted, distinct fingerprints of one list, thinned to
-    a forest: each value to the smallest one of its component in the list."""
-    n = len(values)
-    root = np.arange(n)
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    def join(i: int, j: int) -> None:
-        i, j = find(i), find(j)
-        root[max(i, j)] = min(i, j)
-
-    if n <= SHORT_LIST:
-        as_bytes = values.view(np.uint8).reshape(n, 8)
-        tally = (as_bytes[:, None] == as_bytes[None]).sum(axis=2)
-        near = (tally >= 8 - bits) & (np.bitwise_count(values[:, None] ^ values[None]) <= bits)
-        for i, j in zip(*np.nonzero(np.triu(near, 1))):
-            join(i, j)
-    else:
-        varying = [b for b in range(64) if len(np.unique(values >> np.uint64(b) & np.uint64(1))) > 1]
-        for k in range(1, bits + 1):
-            for choice in combinations(varying, k):
-                mask = np.uint64(sum(1 << b for b in choice))
-                other = values ^ mask
-                at = np.searchsorted(values, other)
-                hit = np.flatnonzero((at < n) & (values[np.minimum(at, n - 1)] == other))
-                for i, j in zip(hit.tolist(), at[hit].tolist()):
-                    if i < j and find(i) != find(j):
-                        join(i, j)
-    top = np.array([find(i) for i in range(n)])
-    moved = np.flatnonzero(top != np.arange(n))
-    return values[moved], values[top[moved]]
-
-
-def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of `fp` at most `bits` bits apart."""
-    choices = [
-        sum(255 << (8 * p) for p in keep) for keep in combinations(range(8), 8 - min(bits, 8))
-    ]
-    signed = [c - (1 << 64) if c >> 63 else c for c in choices]
-    postings = distinct.select(
-        F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(c).cast("long")) for c in signed])).alias(
-            "choice", "key"
-        ),
-        "fp",
-    )
-    lists = postings.repartition("choice", "key").sortWithinPartitions("choice", "key")
+def _unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Joins the trees of rows i and j; `root` names each row's first row before and after."""
+    while len(i):
+        x, y = root[i], root[j]
+        apart = x != y
+        i, j, x, y = i[apart], j[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (up := root[root]).tobytes() != root.tobytes():
+            root[:] = up
+
+
+def _tallied(values: np.ndarray, left: np.ndarray, bits: int) -> np.ndarray:
+    """Links of short lists as the first row of each row's tree; left: rows that follow in its list."""
+    root = np.arange(len(values))
+    for step in range(1, int(left.max(initial=0)) + 1):
+        i = np.flatnonzero(left >= step)
+        differ = values[i] ^ values[i + step]
+        shared = (differ.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
+        retained = shared >= 8 - bits
+        i, differ = i[retained], differ[retained]
+        i = i[np.bitwise_count(differ) <= bits]
+        _unite(root, i, i + step)
+    return root
+
+
+def _probed(values: np.ndarray, bits: int) -> np.ndarray:
+    """The same for one long list of sorted, distinct values: looks up every value a link away."""
+    root = np.arange(len(values))
+    one = np.uint64(1)
+    varying = [b for b in range(64) if len(np.unique(values >> np.uint64(b) & one)) > 1]
+    for k in range(1, bits + 1):
+        for choice in combinations(varying, k):
+            other = values ^ np.uint64(sum(1 << b for b in choice))
+            at = np.minimum(np.searchsorted(values, other), len(values) - 1)
+            hit = np.flatnonzero(values[at] == other)
+            _unite(root, hit, at[hit])
+    return root
+
+
+_LINKS = "a long, b long, choice int"
+
+
+def _list_links(bits: int, defer: bool):
+    """For mapInArrow over (choice, key, fp), sorted by the first two: links (a, b, null). With `defer`,
+    lists longer than LIST come out as they are, a row (fp, null, choice) each."""
+
+    def batch(a: np.ndarray, b: np.ndarray, choice: np.ndarray | None = None) -> pa.RecordBatch:
+        n = len(a)
+        cols = [pa.array(np.ascontiguousarray(a).view(np.int64))]
+        if choice is None:
+            cols += [pa.array(np.ascontiguousarray(b).view(np.int64)), pa.nulls(n, pa.int32())]
+        else:
+            cols += [pa.nulls(n, pa.int64()), pa.array(choice.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(cols, ["a", "b", "choice"])
+
+    def lists(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        values = rows[2].view(np.uint64)
+        new = np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(axis=0)) + 1
+        first = np.concatenate([[0], new])
+        size = np.diff(np.concatenate([first, [len(values)]]))
+        long = np.repeat(size > LIST, size)
+        if defer and long.any():
+            yield batch(values[long], None, rows[0][long])
+        short = ~long
+        left = (np.repeat(first + size, size) - np.arange(len(values)) - 1)[short]
+        some = values[short]
+        root = _tallied(some, left, bits)
+        moved = np.flatnonzero(root != np.arange(len(some)))
+        yield batch(some[moved], some[root[moved]])
+        if not defer:
+            for k in np.flatnonzero(size > LIST):
+                some = np.unique(values[first[k] : first[k] + size[k]])
+                root = _probed(some, bits)
+                moved = np.flatnonzero(root != np.arange(len(some)))
+                yield batch(some[moved], some[root[moved]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.zeros((3, 0), np.int64)
-
-        def links(rows: np.ndarray) -> pa.RecordBatch:
-            a, b = [], []
-            change = np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(axis=0)) + 1
-            edges = np.concatenate([[0], change, [rows.shape[1]]])
-            for k in np.flatnonzero(np.diff(edges) > 1):
-                values = np.unique(rows[2, edges[k] : edges[k + 1]].view(np.uint64))
-                x, y = _forest(values, bits)
-                a.append(x), b.append(y)
-            cols = [np.concatenate([np.zeros(0, np.uint64), *v]).view(np.int64) for v in (a, b)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b"])
-
-        for batch in batches:
-            new = np.stack([np.asarray(c).astype(np.int64) for c in batch.columns])
-            rows = np.concatenate([rest, new], axis=1)
+        rest, over = np.zeros((3, 0), np.int64), None
+        for each in batches:
+            rows = np.stack([np.asarray(c).astype(np.int64) for c in each.columns])
+            if over is not None:  # a list that is deferred already goes on
+                more = (rows[:2] == over).all(axis=0)
+                if more.any():
+                    yield batch(rows[2][more], None, rows[0][more])
+                    rows = rows[:, ~more]
+            rows = np.concatenate([rest, rows], axis=1)
             if not rows.shape[1]:
                 continue
             last = np.flatnonzero((rows[:2] != rows[:2, -1:]).any(axis=0))
             cut = last[-1] + 1 if len(last) else 0  # the last list may go on
+            if defer and rows.shape[1] - cut > LIST:
+                over, cut = rows[:2, -1:].copy(), rows.shape[1]
             rest = rows[:, cut:]
             if cut:
-                yield links(rows[:, :cut])
+                yield from lists(rows[:, :cut])
         if rest.shape[1]:
-            yield links(rest)
+            yield from lists(rest)
+
+    return frugal(run)
+
 
-    return lists.mapInArrow(frugal(run), "a long, b long")
+def _mask(positions) -> int:
+    mask = sum(255 << (8 * p) for p in positions)
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _postings(rows: DataFrame, choices: list[tuple[int, ...]]) -> DataFrame:
+    keys = [F.col("fp").bitwiseAND(F.lit(_mask(c)).cast("long")) for c in choices]
+    return rows.select(F.posexplode(F.array(*keys)).alias("choice", "key"), "fp")
+
+
+def _in_lists(postings: DataFrame) -> DataFrame:
+    lists = postings.select("choice", "key", "fp").repartition("choice", "key")
+    return lists.sortWithinPartitions("choice", "key")
+
+
+def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs of `fp` at most `bits` bits apart."""
+    differ = min(bits, 8)
+    fixed = range(min(8, differ + KEY_BYTES))
+    choices = list(combinations(fixed, len(fixed) - differ))
+    wide = list(combinations(range(8), 8 - differ))
+    postings = _postings(distinct, choices)
+
+    sample = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(SAMPLED)) == 0)
+    least = max(LIST // SAMPLED * 4, sample.count() // HOT_SHARE + 1)
+    hot = _postings(sample, choices).groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n"))
+    hot = checkpointed(hot.filter(F.col("n") >= least).select("choice", "key"))
+    cold = postings.join(F.broadcast(hot), ["choice", "key"], "left_anti")
+    found = checkpointed(_in_lists(cold).mapInArrow(_list_links(bits, True), _LINKS))
+
+    # Of a long list: the choices of more positions that hold its own.
+    within = [[k for k, w in enumerate(wide) if set(c) <= set(w)] for c in choices]
+    table = F.array(*[F.array(*[F.lit(k) for k in ks]) for ks in within])
+    crowded = postings.join(F.broadcast(hot), ["choice", "key"], "left_semi").select("choice", "fp")
+    crowded = crowded.union(found.filter("choice is not null").select("choice", F.col("a").alias("fp")))
+    masks = F.array(*[F.lit(_mask(w)).cast("long") for w in wide])
+    again = crowded.select(F.explode(F.get(table, F.col("choice"))).alias("choice"), "fp")
+    again = again.withColumn("key", F.col("fp").bitwiseAND(F.get(masks, F.col("choice"))))
+    again = _in_lists(again).mapInArrow(_list_links(bits, False), _LINKS)
+    return found.filter("choice is null").select("a", "b").union(again.select("a", "b"))
 
 
 def _grouped(docs: DataFrame, shingle: int, bits: int, seed: int) -> DataFrame:

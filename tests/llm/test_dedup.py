@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 from faturaflow.llm import bitplanes, components, exact_dedup, simhash, substring, textops
@@ -76,7 +77,30 @@ def test_simhash_against_brute_force(docs, rows_in, no_docs):
     assert simhash.op8_simhash(no_docs).count() == 0
 
 
-def test_links_of_random_and_clustered_fingerprints(spark):
+@pytest.mark.parametrize("longest, sampled", [(1024, 64), (3, 64), (3, 1)])
+def test_links_of_random_and_clustered_fingerprints(spark, monkeypatch, longest, sampled):
+    """Also with lists that are keyed once more, found in their task or by the sample, over many batches."""
+    monkeypatch.setattr(simhash, "LIST", longest)
+    monkeypatch.setattr(simhash, "SAMPLED", sampled)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        links_of_random_and_clustered_fingerprints(spark)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_only_pairs_that_reach_the_minimum_are_verified(monkeypatch):
+    """Six of eight bytes shared, in any number of bits, pass the tally; five do not."""
+    seen = []
+    count = np.bitwise_count
+    monkeypatch.setattr(simhash.np, "bitwise_count", lambda x: seen.extend(x.tolist()) or count(x))
+    values = np.array([0, 0x0300, 0x0F00FF, 0x010101], np.uint64)
+    root = simhash._tallied(values, np.array([3, 2, 1, 0]), 2)
+    assert root.tolist() == [0, 0, 2, 3]
+    assert sorted(seen) == sorted([0x0300, 0x0F00FF])
+
+
+def links_of_random_and_clustered_fingerprints(spark):
     rng = random.Random(3)
     fps = {rng.getrandbits(64) for _ in range(200)}
     for _ in range(40):  # chains of one or two changed bits, and a crowd around one value
