@@ -1,12 +1,14 @@
 """Quality rules: surface rules, and an n-gram log-likelihood ratio.
 
 Two multinomials over hashed word 1- and 2-grams are counted from all documents: a target one
-from the documents that the labels call good, and a raw one from the whole corpus. A document's
-score is the mean log ratio of its n-grams; a fixed threshold decides on every document.
+from the documents that the labels call good, and a raw one from the whole corpus. There are more
+buckets the larger the corpus is. A document's score is the mean log ratio of its n-grams; a fixed threshold decides on every document.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ from faturaflow.llm.common import SPACES, own_names, small_or_shuffled, words
 
 #: The contract's surface rules.
 SYMBOLS, LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = "#*$%&|<>", 20, 8, 30
-#: Hash buckets of the multinomials, and the least mean log ratio (nats per n-gram).
-BUCKETS, LEAST_SCORE = 1 << 14, -0.12
+#: Least number of hash buckets of the multinomials, the bytes of text they are for, and the least
+#: mean log ratio (nats per n-gram).
+BUCKETS, BUCKETS_FOR, LEAST_SCORE = 1 << 14, 1 << 28, -0.12
 SURFACE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
@@ -94,9 +97,15 @@ def _measured(docs: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", failed)
 
 
-def _buckets(word: Column) -> Column:
+def bucket_count(size: int) -> int:
+    """Buckets for `size` bytes of text: a power of two that grows with the cube root, as the tasks'
+    counts of all buckets are shuffled: 2**17 at 30 GB, 2**21 at 100 TB."""
+    return BUCKETS << max(0, math.ceil(math.log2(max(1, size) / BUCKETS_FOR) / 3))
+
+
+def _buckets(word: Column, count: int) -> Column:
     """Bucket of every 1-gram and 2-gram of an array of words."""
-    bucket = lambda *w: F.pmod(F.xxhash64(*w), F.lit(BUCKETS)).cast("int")
+    bucket = lambda *w: F.pmod(F.xxhash64(*w), F.lit(count)).cast("int")
     pairs = F.zip_with(
         word,
         F.slice(word, F.lit(2), F.greatest(F.size(word), F.lit(1))),
@@ -108,34 +117,34 @@ def _buckets(word: Column) -> Column:
 def log_ratios(docs: DataFrame, good: DataFrame) -> list[float]:
     """log P(bucket | target) - log P(bucket | corpus), counted over every document.
 
-    good: doc_id of the target documents. Add-one smoothing; BUCKETS rows reach the driver.
+    good: doc_id of the target documents. Add-one smoothing. A row a bucket reaches the driver;
+    the corpus' size decides how many buckets there are.
     """
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    buckets = bucket_count(size)
     good = good.filter("doc_id is not null").select(F.col("doc_id").alias("_good")).distinct()
     flagged = docs.select("doc_id", "text").join(
         small_or_shuffled(good, good.count()), F.col("doc_id") == F.col("_good"), "left"
     )
     lowered = flagged.select("_good", words(F.lower("text")).alias("_words"))
     grams = lowered.select(
-        F.col("_good").isNotNull().alias("target"), F.explode(_buckets(F.col("_words"))).alias("bucket")
+        F.col("_good").isNotNull().alias("target"), F.explode(_buckets(F.col("_words"), buckets)).alias("bucket")
     )
     counts = grams.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target")
     )
-    rows = counts.collect()
-    raw, target = [1.0] * BUCKETS, [1.0] * BUCKETS
-    for r in rows:
+    raw, target = [1.0] * buckets, [1.0] * buckets
+    for r in counts.toLocalIterator():
         raw[r["bucket"]] += r["raw"]
         target[r["bucket"]] += r["target"]
-    if sum(target) <= BUCKETS:  # no target: nothing to compare with
-        return [0.0] * BUCKETS
+    if sum(target) <= buckets:  # no target: nothing to compare with
+        return [0.0] * buckets
     return _log_ratio(target, raw)
 
 
 def _log_ratio(target: list[float], raw: list[float]) -> list[float]:
-    from math import log
-
-    shift = log(sum(raw)) - log(sum(target))
-    return [log(t) - log(r) + shift for t, r in zip(target, raw)]
+    shift = math.log(sum(raw)) - math.log(sum(target))
+    return [math.log(t) - math.log(r) + shift for t, r in zip(target, raw)]
 
 
 @own_names()
@@ -146,11 +155,11 @@ def quality(docs: DataFrame, good: DataFrame, least: float = LEAST_SCORE) -> Dat
     Words are lower-cased for the score. Repeated rows are judged alike. Without target
     documents every score is 0. Columns of `docs` with the names of new ones are replaced.
     """
-    table = ",".join(f"{x:.9g}" for x in log_ratios(docs, good))
-    ratios = F.split(F.lit(table), ",").cast("array<double>")
+    found = log_ratios(docs, good)
+    ratios = F.split(F.lit(",".join(f"{x:.9g}" for x in found)), ",").cast("array<double>")
     mine = [c for c in docs.columns if c not in (*SURFACE, "score", "kept")]
     rows = _measured(docs.select(*mine))
-    rows = rows.withColumn("_lower", words(F.lower("text"))).withColumn("_grams", _buckets(F.col("_lower")))
+    rows = rows.withColumn("_lower", words(F.lower("text"))).withColumn("_grams", _buckets(F.col("_lower"), len(found)))
     total = F.aggregate("_grams", F.lit(0.0), lambda a, b: a + F.get(ratios, b))
     score = F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(0.0)
     rows = _settled(rows.withColumn("score", score), mine, [*SURFACE, "score"])

@@ -43,12 +43,22 @@ def test_quality_surface(spark, docs, rows_in):
     assert all(not r.kept for r in out if r.base_failed)
 
 
-def test_quality_score(spark, no_docs):
+def test_quality_buckets_grow_with_the_corpus():
+    sizes = [0, 1 << 28, 3 * 10**8, 30 * 10**9, 10**14]
+    assert [quality.bucket_count(n).bit_length() - 1 for n in sizes] == [14, 14, 15, 17, 21]
+
+
+@pytest.mark.parametrize("unit", [1 << 28, 1])
+def test_quality_score(spark, no_docs, monkeypatch, unit):
     import xxhash
     from math import log
 
+    monkeypatch.setattr(quality, "BUCKETS_FOR", unit)  # of one byte: more buckets
+
     texts = {1: "the cat sat on the mat " * 4, 2: "the cat sat on The mat", 3: "### $$$ %%% the", 4: None}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    buckets = quality.bucket_count(sum(len(t or "") for t in texts.values()))
+    assert (buckets > quality.BUCKETS) == (unit == 1)
     labels = spark.createDataFrame([(1, 1), (3, 0), (2, None)], "doc_id long, quality int")
     out = {r.doc_id: r for r in quality.op2_quality(docs, labels).collect()}
 
@@ -56,11 +66,11 @@ def test_quality_score(spark, no_docs):
         w = [x.lower().encode() for x in WORD.findall(t or "")]
         h = [xxhash.xxh64_intdigest(x, 42) for x in w]
         two = [xxhash.xxh64_intdigest(b, np.uint64(a).item()) for a, b in zip(h, w[1:])]
-        return [int(np.uint64(x).view(np.int64)) % quality.BUCKETS for x in h + two]
+        return [int(np.uint64(x).view(np.int64)) % buckets for x in h + two]
 
     raw = Counter(g for t in texts.values() for g in grams(t))
     target = Counter(grams(texts[1]))
-    n, m = sum(raw.values()) + quality.BUCKETS, sum(target.values()) + quality.BUCKETS
+    n, m = sum(raw.values()) + buckets, sum(target.values()) + buckets
     for d, t in texts.items():
         g = grams(t)
         want = sum(log((target[x] + 1) / m) - log((raw[x] + 1) / n) for x in g) / len(g) if g else 0
