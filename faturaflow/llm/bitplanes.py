@@ -40,9 +40,9 @@ def frugal(run):
     return wrapped
 
 
-def log2_cells(keys: int, per_key: int = CELLS_PER_KEY, most: int = MOST_LOG2) -> int:
+def log2_cells(keys: int, per_key: int = CELLS_PER_KEY) -> int:
     """Beyond the upper bound the filter lets more keys through; it never loses one."""
-    return min(most, max(LEAST_LOG2, int(max(1, keys) * per_key - 1).bit_length()))
+    return min(MOST_LOG2, max(LEAST_LOG2, int(max(1, keys) * per_key - 1).bit_length()))
 
 
 def cells(a: np.ndarray, b: np.ndarray, log2: int, hashes: int) -> np.ndarray:
@@ -147,6 +147,14 @@ class RepeatFilter:
         parts = few_tasks(halves).mapInArrow(frugal(fill), PARTS)
         return cls(halves.sparkSession, merged(parts, log2, seen), log2, hashes)
 
+    @staticmethod
+    def ranges(keys: int) -> int:
+        """Ranges of the hash space to cut `keys` into, so that each has a plane with all its cells."""
+        return max(1, -(-keys * 2 * CELLS_PER_KEY >> MOST_LOG2))
+
+    def drop(self) -> None:
+        self.plane.destroy()
+
     def holds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return test_plane(self.plane.value, a, b, self.log2, self.hashes)
 

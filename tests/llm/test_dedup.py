@@ -14,7 +14,12 @@ from faturaflow.llm.common import drop_rows
 W = b" \t\n\r\x0b\x0c"
 
 
-def test_exact_dedup_against_brute_force(docs, rows_in):
+@pytest.mark.parametrize("most", [29, 8])
+def test_exact_dedup_against_brute_force(docs, rows_in, monkeypatch, most):
+    """Also with hashes cut into ranges."""
+    monkeypatch.setattr(bitplanes, "MOST_LOG2", most)
+    monkeypatch.setattr(bitplanes, "LEAST_LOG2", 8)
+    assert (bitplanes.RepeatFilter.ranges(len(rows_in)) > 1) == (most == 8)
     groups = defaultdict(list)
     for doc_id, text, *_ in rows_in:
         bare = (text or "").encode().translate(None, W)
@@ -39,6 +44,24 @@ def test_exact_dedup_keeps_columns(docs, no_docs):
     assert exact_dedup.op7_exact_dedup(no_docs).count() == 0
 
 
+def test_single_rows_pass_at_any_size(spark, monkeypatch):
+    """The share of rows without a copy that a filter lets through is the same beyond its bound."""
+    monkeypatch.setattr(bitplanes, "LEAST_LOG2", 8)
+    shares = []
+    for most, n in ((29, 2000), (12, 2000), (12, 500)):
+        monkeypatch.setattr(bitplanes, "MOST_LOG2", most)
+        rows = spark.range(n).selectExpr("id AS doc_id", "sha2(cast(id AS string), 256) AS text_sha256")
+        shares.append(exact_dedup._flagged(rows, n).filter("_maybe").count() / n)
+    assert max(shares) < 0.02
+
+
+def test_the_same_tied_row_stays_in_any_order(spark):
+    rows = [(1, "a b", f"s{k}") for k in range(9)] + [(None, "c d", f"s{k}") for k in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = [sorted(map(tuple, exact_dedup.drop_copies(df.repartition(k, "source")).collect()), key=repr) for k in (1, 4, 7)]
+    assert left[0] == left[1] == left[2] and len(left[0]) == 2
+
+
 def brute_simhash(text):
     w = [x.decode() for x in (text or "").encode().lower().split()]
     if not w:
