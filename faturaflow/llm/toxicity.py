@@ -259,8 +259,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     # Bounded by SAMPLE rows, and so is its broadcast.
     chosen = usable.orderBy(F.md5(F.col("_id").cast("string")), "toxic").limit(SAMPLE)
     texts = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("toxic", "text")
-    sample = checkpointed(sample.limit(SAMPLE).withColumn("k", F.monotonically_increasing_id()))
+    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    # An order of the rows' own, so that neither the sample nor k hangs on partitions.
+    order = [F.md5(F.col("_id").cast("string")), F.xxhash64("text"), "toxic"]
+    sample = sample.orderBy(*order).limit(SAMPLE).select("toxic", "text", F.monotonically_increasing_id().alias("k"))
+    sample = checkpointed(sample.repartition(docs.sparkSession.sparkContext.defaultParallelism, "k"))
     ids = _one_per_family(sample)
     number = docs.sparkSession.createDataFrame(ids.reset_index()[["k", "index"]].astype("int64"), "k long, index long")
     sample = sample.join(F.broadcast(number), "k").select("toxic", "text", F.col("index").alias("k"))

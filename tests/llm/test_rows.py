@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -336,8 +337,6 @@ def test_a_long_text_of_keys_takes_seconds():
 
 
 def test_toxicity_learns_words_of_labelled_rows(spark, no_docs):
-    import random
-
     rng = random.Random(1)
     stems = "ab cd ef gh ij kl mn op qr st uv wx yz ou ei".split()
     word = lambda: "".join(rng.choices(stems, k=rng.randint(2, 4)))
@@ -367,6 +366,27 @@ def test_toxicity_learns_words_of_labelled_rows(spark, no_docs):
     assert {r.predicted for r in toxicity.op5_toxicity(docs, marks.limit(0)).collect()} == {0}
 
 
+def test_toxicity_of_repeated_ids_does_not_hang_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 1100)
+    rng = random.Random(9)
+    stems = "ab cd ef gh ij kl mn op qr st uv wx yz ou ei".split()
+    bad = ["Zorgak", "blimpok", "Krustyx", "vexnorp"]
+    rows, toxic = [], []
+    for i in range(400):
+        for _ in range(4):  # four texts under one id: more rows than the sample takes
+            w = ["".join(rng.choices(stems, k=rng.randint(2, 4))) for _ in range(30)]
+            rows.append((i, " ".join(w + (rng.choices(bad, k=4) if i % 5 == 0 else []))))
+        toxic.append((i, int(i % 5 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(toxic, "doc_id long, toxic int")
+    runs = [
+        sorted((r.doc_id, r.text, round(r.score, 9)) for r in toxicity.score_documents(docs.repartition(k), labels.repartition(k)).collect())
+        for k in (1, 5)
+    ]
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+    assert len({s for *_, s in runs[0]}) > 1
+
+
 def test_label_model_weighs_correlated_voters_down():
     rng = np.random.default_rng(1)
     y = rng.random(4000) < 0.15
