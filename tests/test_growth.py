@@ -92,3 +92,10 @@ def test_a_route_is_small_and_never_null(spark):
     routed = spark.range(100).select(joins._route(["id"], None).alias("r"))
     assert not routed.schema["r"].nullable
     assert routed.agg(F.min("r") >= 0, F.max("r") < 4096).first() == (True, True)
+
+
+def test_lookup_keys_are_not_derived_again(spark, tmp_path):
+    """maintained_directories: neither the payloads nor the posted lines are computed once more for the result."""
+    sf = write_tables(spark, tmp_path / "sf")
+    plan = queries.REGISTRY["maintained_directories"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan
