@@ -10,7 +10,9 @@ from faturaflow import fixtures as fx
 from faturaflow.functions import qr as qr_functions
 from faturaflow.operators import joins, qr
 from faturaflow.plans import invoice_run, queries
+from faturaflow.sinks.outbox import Manifest, Outbox
 from faturaflow.sources import notifications
+from faturaflow.streaming import intake
 
 
 def write_tables(spark, root, null_size: bool = False):
@@ -99,3 +101,11 @@ def test_lookup_keys_are_not_derived_again(spark, tmp_path):
     sf = write_tables(spark, tmp_path / "sf")
     plan = queries.REGISTRY["maintained_directories"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan
+
+
+def test_answers_are_not_read_while_nothing_waits(spark, tmp_path):
+    outbox = Outbox(spark, str(tmp_path / "out"), queries.CFG)
+    arrived = spark.sql("SELECT '1' AS message_id, current_timestamp() AS ts, cast(NULL AS string) AS answer")
+    unread = spark.range(1).selectExpr("'1' AS message_id", "string(raise_error('read')) AS answer")
+    ids = intake.taken_up(arrived, outbox, Manifest(), unread).collect()
+    assert [(r.message_id, r.waited) for r in ids] == [("1", False)]
