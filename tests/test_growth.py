@@ -109,3 +109,13 @@ def test_answers_are_not_read_while_nothing_waits(spark, tmp_path):
     unread = spark.range(1).selectExpr("'1' AS message_id", "string(raise_error('read')) AS answer")
     ids = intake.taken_up(arrived, outbox, Manifest(), unread).collect()
     assert [(r.message_id, r.waited) for r in ids] == [("1", False)]
+
+
+def test_a_filter_on_mail_parses_its_text_once(spark, tmp_path):
+    """response_assembly: the filter asks for five fields of the JSON text, which was parsed for each."""
+    sf = write_tables(spark, tmp_path / "sf")
+    mail = fx.parsed_mail(fx.mail_json(spark, sf)).filter("readable and has_attachments").select("message_id", "received_at")
+    assert mail._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert sorted(mail.collect()) == [(str(i), "2024-01-05T00:00:00Z") for i in (0, 1, 2)]
+    broken = fx.parsed_mail(spark.createDataFrame([("no json",), (None,)], "raw string"))
+    assert [(r.message_id, r.readable) for r in broken.collect()] == [("", False)] * 2
