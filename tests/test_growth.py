@@ -119,3 +119,10 @@ def test_a_filter_on_mail_parses_its_text_once(spark, tmp_path):
     assert sorted(mail.collect()) == [(str(i), "2024-01-05T00:00:00Z") for i in (0, 1, 2)]
     broken = fx.parsed_mail(spark.createDataFrame([("no json",), (None,)], "raw string"))
     assert [(r.message_id, r.readable) for r in broken.collect()] == [("", False)] * 2
+
+
+def test_requests_classify_once(spark, tmp_path):
+    """run_requests: who waits is written, so the run is not made again for the listings."""
+    sf = write_tables(spark, tmp_path / "sf")
+    plan = queries.REGISTRY["run_requests"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_returnflag" not in plan and "FCA25" not in plan
