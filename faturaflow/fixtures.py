@@ -40,8 +40,8 @@ def _vendor_no(key: str) -> str:
     return f"concat('V', {_padded(key, 6)})"
 
 
-def qr_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """message_id, order_key, payload: one invoice per order that has lines.
+def invoiced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """message_id, k, o_orderdate, supp and the bases I2, I3, I5, I7: one row per order that has lines.
 
     Lines are grouped and joined by the message id, so that what is joined by it next need not
     be shuffled again. Amounts are added up as whole cents, which take eight bytes a sum.
@@ -51,9 +51,6 @@ def qr_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         cents = "bigint(cast(l_extendedprice AS decimal(15,2)) * 100BD)"
         return F.expr(f"cast(sum(if({cond}, {cents}, NULL)) * 0.01BD AS decimal(15,2))")
 
-    def vat(base: str, rate: str) -> str:
-        return f"cast(round({base} * {rate}BD, 2) AS decimal(15,2))"
-
     sums = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").cast("string").alias("message_id"))
@@ -68,6 +65,15 @@ def qr_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").selectExpr(
         "string(o_orderkey) AS message_id", "o_orderkey AS k", "o_orderdate"
     )
+    return orders.join(sums, "message_id")
+
+
+def qr_messages(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """message_id, order_key, supp, payload: one invoice per order that has lines."""
+
+    def vat(base: str, rate: str) -> str:
+        return f"cast(round({base} * {rate}BD, 2) AS decimal(15,2))"
+
     plain = "NOT (k % 109 = 4 OR k % 113 = 5 OR k % 137 = 8)"
     payload = f"""concat(concat_ws('*',
         if(k % 131 = 7, NULL, concat('A:', 500000000 + supp)),
@@ -83,7 +89,7 @@ def qr_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         if({plain}, concat('I4:', {vat("I3", "0.06")}), NULL),
         if({plain}, concat('I5:', I5), NULL), if({plain}, concat('I6:', {vat("I5", "0.13")}), NULL),
         if({plain}, concat('I7:', I7), NULL), if({plain}, concat('I8:', {vat("I7", "0.23")}), NULL)), '*')"""
-    return orders.join(sums, "message_id").selectExpr(
+    return (invoiced_orders(spark, sf_dir) if orders is None else orders).selectExpr(
         "message_id", "k AS order_key", "supp", f"{payload} AS payload"
     )
 
@@ -159,7 +165,7 @@ def decode_candidates(
 
 
 def classifier_answers(
-    spark: SparkSession, sf_dir: str, payloads: DataFrame | None = None
+    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
 ) -> DataFrame:
     """Answers for the vendor of the payload's tax number. An invoice whose vendor has another
     number by its name, or none, may stay without one."""
@@ -171,9 +177,12 @@ def classifier_answers(
         .filter("n > 0")
         .select("vendor_no", "account")
     )
-    # Asked of the payloads as they are: with fewer columns Spark would add up all lines once more.
-    invoices = (qr_messages(spark, sf_dir) if payloads is None else payloads).filter("length(payload) > 0")
-    asked = invoices.selectExpr("message_id", "order_key", f"{_vendor_no('supp')} AS vendor_no")
+    # Every row has a key, so all are asked. The sums are named for their columns: with fewer Spark would
+    # add up all lines once more. No payload is made for it, which would be made twice.
+    invoices = (invoiced_orders(spark, sf_dir) if orders is None else orders).filter(
+        "coalesce(I2, I3, I5, I7, cast(k AS decimal(20,0))) IS NOT NULL"
+    )
+    asked = invoices.selectExpr("message_id", "k AS order_key", f"{_vendor_no('supp')} AS vendor_no")
     return lookup_join(asked, smallest, ["vendor_no"], "inner").selectExpr(
         "message_id", "if(order_key % 5 = 0, '99999', concat('  ', account, ' ')) AS answer"
     )
@@ -270,11 +279,11 @@ def events_of(bodies: DataFrame) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    payloads = qr_messages(spark, sf_dir)
+    orders = invoiced_orders(spark, sf_dir)
     return Inputs(
         messages=parsed_mail(mail_json(spark, sf_dir)),
-        candidates=decode_candidates(spark, sf_dir, payloads),
-        answers=classifier_answers(spark, sf_dir, payloads),
+        candidates=decode_candidates(spark, sf_dir, qr_messages(spark, sf_dir, orders)),
+        answers=classifier_answers(spark, sf_dir, orders),
         vendors=vendors(spark, sf_dir),
         posted_lines=posted_lines(spark, sf_dir),
         purchase_header=purchase_header(spark, sf_dir),

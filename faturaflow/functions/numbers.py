@@ -12,6 +12,8 @@ _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 _DECIMAL = rf"(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
 _SPECIAL = "(?i:nan|inf|infinity)"
 _FLOAT = rf"^{_BLANK}[+-]?(?:{_DECIMAL}|{_SPECIAL}){_BLANK}\z"
+# Digits as nearly all payloads hold them: nothing to drop, and no type suffix that a cast would take.
+_PLAIN = r"\A[0-9]++(?:\.[0-9]++)?+\z"
 # Characters the pattern allows and a cast does not: '_' and blanks beyond ASCII.
 _DROPPED = "_\u0085\u00a0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
@@ -22,7 +24,8 @@ def text_to_float(c: Column) -> Column:
     Anything else is NULL, also the type suffixes of '1.0d' and '1.0f' that a
     bare cast would take.
     """
-    return F.when(c.rlike(_FLOAT), F.translate(c, _DROPPED, "").try_cast("double"))
+    plain = F.when(c.rlike(_PLAIN), c.try_cast("double"))
+    return plain.when(c.rlike(_FLOAT), F.translate(c, _DROPPED, "").try_cast("double"))
 
 
 def is_positive(c: Column) -> Column:

@@ -10,7 +10,8 @@ from faturaflow.functions.text import count_char
 
 
 def is_payload(text: Column) -> Column:
-    return text.isNotNull() & (count_char(text, "*") >= MIN_QR_STARS)
+    """At least so many '*': what goes before the last one needed is shorter than the text. The search ends there."""
+    return text.isNotNull() & (F.octet_length(F.substring_index(text, "*", MIN_QR_STARS)) < F.octet_length(text))
 
 
 def pairs(payload: Column) -> Column:
@@ -29,6 +30,17 @@ def joined(pair_array: Column) -> Column:
     return F.concat(F.lit("*"), F.array_join(pair_array, "*"), F.lit("*"))
 
 
+#: A payload whose parts all are pairs and end with a '*'.
+_ALL_PAIRS = r"\A(?:[^:*]*+:[^:*]*+\*)++\z"
+
+
+def joined_pairs(payload: Column) -> Column:
+    """joined() of the payload's pairs. A payload of nothing else is that text already, without its first '*';
+    only others are split, which takes a call per part."""
+    whole = F.when(payload.rlike(_ALL_PAIRS), F.concat(F.lit("*"), payload))
+    return whole.otherwise(joined(pairs(payload)))
+
+
 def joined_value(joined_pairs: Column, key: str) -> Column:
     """As value(), from the text of joined(): searched in generated code, without a call per pair and key.
 

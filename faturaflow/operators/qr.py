@@ -48,7 +48,7 @@ def with_parties(df: DataFrame) -> DataFrame:
     What is shuffled next is one text and not a column for each field. The payload is split once,
     into a column of its own; Catalyst does not repeat an expression that several columns use.
     """
-    split = df.withColumn("pairs_text", qr.joined(qr.pairs(F.col("payload")))).drop("payload")
+    split = df.withColumn("pairs_text", qr.joined_pairs(F.col("payload"))).drop("payload")
     return split.withColumns({c: _field(INVOICE_FIELDS[c]) for c in PARTY_FIELDS})
 
 

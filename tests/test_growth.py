@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 from pyspark.sql import functions as F
 
 from faturaflow import fixtures as fx
+from faturaflow.functions import numbers
 from faturaflow.functions import qr as qr_functions
 from faturaflow.operators import joins, qr
 from faturaflow.plans import invoice_run, queries
@@ -121,6 +123,45 @@ def test_a_filter_on_mail_parses_its_text_once(spark, tmp_path):
     assert [(r.message_id, r.readable) for r in broken.collect()] == [("", False)] * 2
 
 
+def test_answers_make_no_payload(spark, tmp_path):
+    """The answers ask who sold, and name the sums only to share the candidates' aggregation of all lines."""
+    sf = write_tables(spark, tmp_path / "sf")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        answers = fx.classifier_answers(spark, sf)
+        plan = answers._jdf.queryExecution().executedPlan().toString()
+        assert "concat_ws" not in plan
+        partial = r"functions=\[(partial_min\(l_suppkey[^\n]*), output"
+        both = answers.unionByName(qr.first_accepted(fx.decode_candidates(spark, sf)).toDF("message_id", "answer"))
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        sums = re.findall(partial, plan)
+        assert len(sums) == 2 and len({re.sub(r"#\d+L?", "", x) for x in sums}) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_whole_payloads_are_not_split(spark):
+    """Equal to the text of the pairs; only payloads with other parts take the longer way."""
+    texts = ["A:1*B:2*A:3*", "A:1*", "A:1*B:2", "A:1:2*A:4*", "*A:*", "A:1**B:2*", "A*B:1*", ":*", "A:1\n*B:\u00e9*", "", "*", None, "A:1*" * 20_000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(qr_functions.joined_pairs(F.col("t")), qr_functions.joined(qr_functions.pairs(F.col("t")))).collect()
+    assert all(a == b for a, b in got)
+
+
+def test_stars_and_plain_numbers_are_told_as_before(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("A*:", k=rng.randint(0, 14))) for _ in range(3_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    told = df.select("t", qr_functions.is_payload(F.col("t")).alias("p")).collect()
+    assert all(r.p == (r.t.count("*") >= 6) for r in told)
+    texts = ["".join(rng.choices("0017.._+-e fd\u00a0", k=rng.randint(0, 7))) for _ in range(5_000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "12.50", "007", "1.", ".5", "9" * 400, "1.0d", "\u0661", "1\n"]], "t string")
+    c = F.col("t")
+    general = F.when(c.rlike(numbers._FLOAT), F.translate(c, numbers._DROPPED, "").try_cast("double"))
+    wrong = df.filter(~numbers.text_to_float(c).eqNullSafe(general)).collect()
+    assert not wrong
+
+
 def test_requests_classify_once(spark, tmp_path):
     """run_requests: who waits is written, so the run is not made again for the listings."""
     sf = write_tables(spark, tmp_path / "sf")
