@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import random
 import re
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from faturaflow import fixtures as fx
 from faturaflow.functions import numbers
 from faturaflow.functions import qr as qr_functions
-from faturaflow.operators import joins, qr
+from faturaflow.operators import joins, qr, rejects, tax
 from faturaflow.plans import invoice_run, queries
 from faturaflow.sinks.outbox import Manifest, Outbox
 from faturaflow.sources import notifications
+from faturaflow.sources.stage import Stage
 from faturaflow.streaming import intake
 
 
@@ -167,3 +169,75 @@ def test_requests_classify_once(spark, tmp_path):
     sf = write_tables(spark, tmp_path / "sf")
     plan = queries.REGISTRY["run_requests"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "event_type" not in plan and "p_type" in plan  # the listings' tables, not the notifications
+
+
+
+def loaders(monkeypatch, name: str, spark, sf: str) -> list:
+    """What the query gives its stream to load the batches' inputs with."""
+    seen = []
+    start = intake.start
+    monkeypatch.setattr(intake, "start", lambda events, load, *a, **k: (seen.append(load), start(events, load, *a, **k))[1])
+    queries.REGISTRY[name](spark, sf).collect()
+    return seen
+
+
+def assert_only_written_tables(spark, sf: str, loads: list):
+    """A batch derives nothing anew, and reads the rows that `inputs` derives."""
+    whole = fx.inputs(spark, sf)
+    for load in loads:
+        inp = load(spark)
+        for name in ("messages", "candidates", "answers", "posted_lines"):
+            df = getattr(inp, name)
+            if df is None:
+                continue
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert not re.search("Join|Aggregate|from_json|Generate", plan), name
+            if name != "answers" or load is loads[-1]:
+                want = getattr(whole, name).select(df.columns)
+                assert sorted(df.collect(), key=repr) == sorted(want.collect(), key=repr), name
+
+
+def test_rounds_derive_their_inputs_once(spark, tmp_path, monkeypatch):
+    """stream_rounds: sums, candidates, mail and answers were derived again for every round."""
+    sf = write_tables(spark, tmp_path / "sf")
+    loads = loaders(monkeypatch, "stream_rounds", spark, sf)
+    assert len(loads) == fx.ROUNDS
+    assert_only_written_tables(spark, sf, loads)
+
+
+def test_listings_of_a_batch_are_made_once(spark, tmp_path):
+    """stream_rounds: requests, known listings and the state each made them; where nobody waits none is made."""
+    rows = "SELECT '{}' AS message_id, 'V1' AS vendor_no, 'n' AS sender_name, 'a' AS sender_address, 's' AS subject, '{}' AS status"
+    mail = spark.sql("SELECT 'm' AS message_id, 'b' AS body")
+    posted = spark.sql("SELECT 'V1' AS vendor_no, '62' AS account, 'd' AS description UNION ALL SELECT 'V2', '63', 'e'")
+    inp = invoice_run.Inputs(mail, None, None, None, posted, None, None)
+    asked, listings = invoice_run.requests(spark.sql(rows.format("m", "AWAITING_ACCOUNT")), inp, queries.CFG, Stage(spark, str(tmp_path / "a")), True)
+    for df in (asked, listings):
+        assert "listagg" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.message_id, r.vendor_no) for r in asked.collect()] == [("m", "V1")]
+    assert [r.listing for r in listings.collect()] == ["62 d"]
+    unread = posted.withColumn("description", F.expr("string(raise_error('read'))"))
+    nobody = spark.sql(rows.format("m", "SENT"))
+    asked, listings = invoice_run.requests(nobody, replace(inp, posted_lines=unread), queries.CFG, Stage(spark, str(tmp_path / "b")), True)
+    assert "raise_error" not in listings._jdf.queryExecution().optimizedPlan().toString()
+    assert asked.collect() == [] and listings.collect() == []
+
+
+def test_failed_messages_have_their_band_fields_left_unread(spark):
+    text = "*A:1*B:2*F:20240101*H:h*I2:5*I3:10*I4:2*"
+    df = spark.createDataFrame([("m", text, None), ("x", text, "BAD_QR")], "message_id string, pairs_text string, status string")
+    got = {r.message_id: r for r in qr.with_other_fields(df, F.col("status").isNull()).collect()}
+    assert (got["m"].i2, got["m"].i4, got["x"].i2, got["x"].i4) == ("5", "2", None, None)
+    assert got["m"].vendor_invoice_no == got["x"].vendor_invoice_no == "h"
+    bands = tax.with_bands(qr.with_other_fields(df, F.col("status").isNull()), queries.CFG)
+    whole = tax.with_bands(qr.with_other_fields(df), queries.CFG)
+    assert sorted(bands.select("message_id", "status", "bands").collect()) == sorted(whole.select("message_id", "status", "bands").collect())
+
+
+def test_recipients_are_taken_from_their_list_once(spark):
+    """Not for every notice, by patterns."""
+    rejected = spark.sql("SELECT 'm' AS message_id, 's' AS notice_subject, 't' AS notice_text UNION ALL SELECT 'x', NULL, NULL")
+    for addresses, want in (("a@x, b@x", ("a@x", ["b@x"], True)), ("a@x", ("a@x", None, True)), (None, (None, None, False)), (" ,b", (None, ["b"], False))):
+        df = rejects.notices(rejected, addresses)
+        assert [(r.recipient, r.cc, r.sendable) for r in df.collect()] == [want]
+        assert "transform(" not in df._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
