@@ -205,6 +205,14 @@ def test_rounds_derive_their_inputs_once(spark, tmp_path, monkeypatch):
     assert_only_written_tables(spark, sf, loads)
 
 
+def test_late_answers_derive_their_inputs_once(spark, tmp_path, monkeypatch):
+    """stream_answers: as above, and the answers that land as events come from one table."""
+    sf = write_tables(spark, tmp_path / "sf")
+    loads = loaders(monkeypatch, "stream_answers", spark, sf)
+    assert len(loads) == 2
+    assert_only_written_tables(spark, sf, loads)
+
+
 def test_listings_of_a_batch_are_made_once(spark, tmp_path):
     """stream_rounds: requests, known listings and the state each made them; where nobody waits none is made."""
     rows = "SELECT '{}' AS message_id, 'V1' AS vendor_no, 'n' AS sender_name, 'a' AS sender_address, 's' AS subject, '{}' AS status"
